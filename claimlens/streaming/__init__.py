@@ -1,0 +1 @@
+"""Deliberately empty: the workload is batch only, so nothing streams."""
