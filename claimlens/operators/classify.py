@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, STANDARD, Settings
-from claimlens.functions.columns import first_true, mentions_any, percent
+from claimlens.functions.columns import first_true, mentions_any, percent, text_sql
 
 RISK_FLAGS = ("is_opioid", "is_benzodiazepine", "is_stimulant", "is_high_risk")
 
@@ -23,8 +23,8 @@ def flag_risk(df: DataFrame, settings: Settings = DEFAULTS, whole_word: bool = F
         flag: mentions_any(("drug_name", "generic_name"), words, whole_word) for _, flag, words in lists
     })
     return flagged.withColumns({
-        "is_high_risk": F.greatest(*[F.col(flag) for _, flag, _ in lists]),
-        "risk_category": first_true({name: F.col(flag) == 1 for name, flag, _ in lists}, otherwise=STANDARD),
+        "is_high_risk": F.greatest(*[flag for _, flag, _ in lists]),
+        "risk_category": first_true({name: f"{flag} = 1" for name, flag, _ in lists}, otherwise=STANDARD),
     })
 
 
@@ -37,14 +37,14 @@ def risk_from_reference(df: DataFrame, reference: DataFrame, settings: Settings
     small, and splits a hot drug when it is not.
     """
     lists = settings.risk_lists
-    order = F.array(*[F.lit(name) for name, _, _ in lists], F.lit(STANDARD))
+    order = "array(" + ", ".join(text_sql(c) for c in (*[name for name, _, _ in lists], STANDARD)) + ")"
     listed = (
-        reference.filter(F.array_contains(order, F.col("risk_category")))
-        .groupBy(F.upper(F.trim("drug_name")).alias("drug_name"))
-        .agg(F.element_at(order, F.min(F.array_position(order, F.col("risk_category"))).cast("int")).alias("__listed"))
+        reference.filter(f"array_contains({order}, risk_category)")
+        .groupBy(F.expr("upper(trim(drug_name)) AS drug_name"))
+        .agg(F.expr(f"element_at({order}, cast(min(array_position({order}, risk_category)) AS int)) AS __listed"))
     )
     decided = {
-        flag: F.coalesce((F.col("__listed") == name).cast("int"), F.col(flag)) for name, flag, _ in lists
+        flag: F.expr(f"coalesce(cast(__listed = {text_sql(name)} AS int), {flag})") for name, flag, _ in lists
     }
     return (
         df.join(listed, "drug_name", "left")
@@ -57,9 +57,9 @@ def risk_from_reference(df: DataFrame, reference: DataFrame, settings: Settings
 def risk_counts(df: DataFrame) -> DataFrame:
     """One row: all, high-risk and opioid prescriptions, with shares in percent."""
     counts = df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(F.expr("is_high_risk = 1")).alias("high_risk_count"),
-        F.count_if(F.expr("is_opioid = 1")).alias("opioid_count"),
+        F.expr("count(1) AS total_records"),
+        F.expr("count_if(is_high_risk = 1) AS high_risk_count"),
+        F.expr("count_if(is_opioid = 1) AS opioid_count"),
     )
     return counts.withColumns({
         "high_risk_pct": percent("high_risk_count", "total_records"),

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, Settings
-from claimlens.functions.columns import first_true, percent, ratio
+from claimlens.functions.columns import first_true, percent, ratio, ratio_sql
 from claimlens.schemas import PROVIDER_DRUG_NAMES
 
 KEPT = "KEPT"
@@ -21,31 +19,31 @@ def rename_columns(df: DataFrame, names: Mapping[str, str] = PROVIDER_DRUG_NAMES
     return df.withColumnsRenamed(dict(names))
 
 
-def keep_rules(settings: Settings = DEFAULTS) -> dict[str, Column]:
-    """Reject reason -> condition a row must meet, in the order they are tried.
+def keep_rules(settings: Settings = DEFAULTS) -> dict[str, str]:
+    """Reject reason -> SQL condition a row must meet, in the order they are tried.
 
     A condition that is NULL (a blank beneficiary count, a missing cost)
     rejects the row, as in a WHERE clause.
     """
     return {
-        "MISSING_NPI": F.col("npi").isNotNull(),
-        "MISSING_DRUG": F.col("drug_name").isNotNull(),
-        "MISSING_CLAIMS": F.col("total_claims").isNotNull(),
-        "LOW_CLAIMS": F.col("total_claims") >= settings.min_claims,
-        "LOW_BENEFICIARIES": F.col("beneficiary_count") >= settings.min_beneficiaries,
-        "HIGH_COST_PER_CLAIM": ratio("total_cost", "total_claims") <= settings.max_cost_per_claim,
+        "MISSING_NPI": "npi IS NOT NULL",
+        "MISSING_DRUG": "drug_name IS NOT NULL",
+        "MISSING_CLAIMS": "total_claims IS NOT NULL",
+        "LOW_CLAIMS": f"total_claims >= {settings.min_claims}",
+        "LOW_BENEFICIARIES": f"beneficiary_count >= {settings.min_beneficiaries}",
+        "HIGH_COST_PER_CLAIM": f"{ratio_sql('total_cost', 'total_claims')} <= {settings.max_cost_per_claim!r}D",
     }
 
 
 def keep_valid(df: DataFrame, settings: Settings = DEFAULTS, only: Sequence[str] | None = None) -> DataFrame:
     """Drop the rows that break a rule (all rules, or those named in ``only``)."""
     rules = keep_rules(settings)
-    return df.filter(reduce(and_, [rules[r] for r in (only or rules)]))
+    return df.filter(" AND ".join(rules[r] for r in (only or rules)))
 
 
 def reject_reason(settings: Settings = DEFAULTS) -> Column:
     """The first rule a row breaks, or ``KEPT``."""
-    broken = {name: ~F.coalesce(met, F.lit(False)) for name, met in keep_rules(settings).items()}
+    broken = {name: f"NOT coalesce({met}, false)" for name, met in keep_rules(settings).items()}
     return first_true(broken, otherwise=KEPT)
 
 
@@ -61,19 +59,18 @@ def reject_summary(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 def clean_counts(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row: rows before and after cleaning, and what was removed."""
-    kept = F.count_if(reduce(and_, keep_rules(settings).values()))
-    return df.agg(F.count(F.lit(1)).alias("initial_count"), kept.alias("clean_count")).select(
-        "initial_count",
-        "clean_count",
-        (F.col("initial_count") - F.col("clean_count")).alias("removed_count"),
-        percent(F.col("initial_count") - F.col("clean_count"), "initial_count").alias("removed_pct"),
-    )
+    kept = " AND ".join(keep_rules(settings).values())
+    counts = df.agg(F.expr("count(1) AS initial_count"), F.expr(f"count_if({kept}) AS clean_count"))
+    return counts.withColumns({
+        "removed_count": F.expr("initial_count - clean_count"),
+        "removed_pct": percent("initial_count - clean_count", "initial_count"),
+    })
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
     """Upper-case and trim names and state; only trim the specialty."""
-    upper = {c: F.upper(F.trim(F.col(c))) for c in ("drug_name", "generic_name", "provider_state")}
-    return df.withColumns({**upper, "specialty": F.trim("specialty")})
+    upper = {c: F.expr(f"upper(trim({c}))") for c in ("drug_name", "generic_name", "provider_state")}
+    return df.withColumns({**upper, "specialty": F.expr("trim(specialty)")})
 
 
 def derived_metrics(df: DataFrame) -> DataFrame:

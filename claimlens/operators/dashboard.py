@@ -65,8 +65,8 @@ def calculated_fields(providers: DataFrame) -> DataFrame:
         "claims_per_beneficiary": ratio("provider_total_claims", "total_beneficiaries"),
         "risk_tier": first_true(
             {
-                "High Risk": F.col("opioid_percentage") > HIGH_RISK_PCT,
-                "Moderate Risk": F.col("opioid_percentage") > MODERATE_RISK_PCT,
+                "High Risk": f"opioid_percentage > {HIGH_RISK_PCT}",
+                "Moderate Risk": f"opioid_percentage > {MODERATE_RISK_PCT}",
             },
             otherwise="Low Risk",
         ),
@@ -135,10 +135,9 @@ def drug_quadrants(drugs: DataFrame) -> DataFrame:
 def specialty_shares(specialties: DataFrame) -> DataFrame:
     """Each category's share of its specialty; a window group is one row per category."""
     total = F.sum("specialty_claims").over(Window.partitionBy("specialty"))
-    return specialties.withColumns({
-        "specialty_total_claims": total,
-        "claim_share_pct": percent(F.col("specialty_claims"), total),
-    })
+    return specialties.withColumn("specialty_total_claims", total).withColumn(
+        "claim_share_pct", percent("specialty_claims", "specialty_total_claims")
+    )
 
 
 def top_providers_by_specialty(providers: DataFrame, n: int = 5) -> DataFrame:
@@ -162,7 +161,7 @@ def state_tooltip(providers: DataFrame) -> DataFrame:
         F.sum("opioid_claims").alias("total_opioid_claims"),
         F.count("npi").alias("provider_count"),
         F.count_if(F.col("npi").isNotNull() & (F.col("opioid_claims") > 0)).alias("opioid_provider_count"),
-        ratio(F.sum("pct_sum"), F.sum("pct_rows")).alias("avg_opioid_pct"),
+        ratio("sum(pct_sum)", "sum(pct_rows)").alias("avg_opioid_pct"),
     )
 
 

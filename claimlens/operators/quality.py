@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, STANDARD, Settings
-from claimlens.functions.columns import percent
+from claimlens.functions.columns import percent, text_sql
 from claimlens.operators.classify import flag_risk
 from claimlens.operators.clean import KEPT, normalize_text, reject_reason, rename_columns
 
@@ -28,7 +28,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     """Per column: type, rows, NULLs and their share. One aggregate for all columns."""
     counts = df.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in df.columns],
+        *[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in df.columns],
     )
     types = F.create_map(*[F.lit(v) for field in df.dtypes for v in field])
     long = counts.unpivot("__rows", [f"`{c}`" for c in df.columns], "column_name", "null_count")
@@ -53,9 +53,9 @@ def missing_values(df: DataFrame) -> DataFrame:
 
 def quality_score(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row: share of rows with all required fields, in percent; 0 without rows."""
-    complete = reduce(and_, [F.col(c).isNotNull() for c in required])
+    complete = " AND ".join(f"`{c}` IS NOT NULL" for c in required)
     return df.agg(
-        F.count(F.lit(1)).alias("total_records"), F.count_if(complete).alias("complete_records")
+        F.expr("count(1) AS total_records"), F.expr(f"count_if({complete}) AS complete_records")
     ).withColumn("quality_score", F.coalesce(percent("complete_records", "total_records"), F.lit(0.0)))
 
 
@@ -91,27 +91,24 @@ def run_statistics(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         .transform(flag_risk, settings)
     )
     cells = classified.groupBy("provider_state", "risk_category", "__kept").agg(
-        F.count(F.lit(1)).alias("__rows"), F.sum("total_claims").alias("__claims")
+        F.expr("count(1) AS __rows"), F.expr("sum(total_claims) AS __claims")
     )
-    rank = F.percent_rank().over(
-        Window.partitionBy("__kept", "risk_category").orderBy(F.asc_nulls_last("__claims"))
-    )
-    kept = F.col("__kept")
+    groups = Window.partitionBy("__kept", "risk_category").orderBy(F.asc_nulls_last("__claims"))
 
-    def rows_where(condition):
-        return F.coalesce(F.sum(F.when(condition, F.col("__rows"))), F.lit(0))
+    def rows(condition: str, name: str):
+        return F.expr(f"coalesce(sum(__rows) FILTER (WHERE {condition}), 0) AS {name}")
 
     return (
-        cells.withColumn("__hotspot", rank >= settings.hotspot_percentile)
+        cells.withColumn("__hotspot", F.percent_rank().over(groups) >= settings.hotspot_percentile)
         .agg(
-            F.coalesce(F.sum("__rows"), F.lit(0)).alias("records_extracted"),
-            rows_where(kept).alias("records_cleaned"),
-            rows_where(kept & (F.col("risk_category") != STANDARD)).alias("high_risk_count"),
-            rows_where(kept & (F.col("risk_category") == "OPIOID")).alias("opioid_count"),
-            F.count_if(kept & F.col("__hotspot")).alias("hotspot_count"),
+            rows("true", "records_extracted"),
+            rows("__kept", "records_cleaned"),
+            rows(f"__kept AND risk_category <> {text_sql(STANDARD)}", "high_risk_count"),
+            rows("__kept AND risk_category = 'OPIOID'", "opioid_count"),
+            F.expr("count_if(__kept AND __hotspot) AS hotspot_count"),
         )
         .withColumns({
-            "data_loss_pct": percent(F.col("records_extracted") - F.col("records_cleaned"), "records_extracted"),
+            "data_loss_pct": percent("records_extracted - records_cleaned", "records_extracted"),
             "high_risk_pct": percent("high_risk_count", "records_cleaned"),
             "opioid_pct": percent("opioid_count", "records_cleaned"),
         })

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.config import TIME_LEVELS
-from claimlens.functions.columns import percent, ratio
+from claimlens.functions.columns import percent
 from claimlens.operators.aggregate import CLAIMS, COST, PROVIDERS, UNIT_COST, Grouping
 
 TIME_KEYS = dict(zip(TIME_LEVELS, (
@@ -26,12 +26,10 @@ def add_calendar(
     ``quarter``) the files were published for, the rest being NULL.
     """
     if date_column:
-        day = F.col(date_column).cast("date")
-        return df.withColumns({
-            "report_date": day,
-            "report_year": F.year(day),
-            "report_quarter": F.concat(F.lit("Q"), F.quarter(day).cast("string")),
-            "report_month": F.month(day),
+        return df.withColumn("report_date", F.col(date_column).cast("date")).withColumns({
+            "report_year": F.expr("year(report_date)"),
+            "report_quarter": F.expr("concat('Q', quarter(report_date))"),
+            "report_month": F.expr("month(report_date)"),
         })
     if year is None:
         raise ValueError("add_calendar needs a date column or a year")
@@ -77,8 +75,8 @@ def year_over_year(yearly: DataFrame) -> DataFrame:
         "yearly_claims",
         F.lag("yearly_claims").over(w).alias("prev_claims"),
     ).withColumns({
-        "claims_change": F.col("yearly_claims") - F.col("prev_claims"),
-        "claims_change_pct": percent(F.col("yearly_claims") - F.col("prev_claims"), "prev_claims"),
+        "claims_change": F.expr("yearly_claims - prev_claims"),
+        "claims_change_pct": percent("yearly_claims - prev_claims", "prev_claims"),
     })
 
 
@@ -88,5 +86,5 @@ def reference_average(yearly: DataFrame) -> DataFrame:
     The window runs over one row per year and category.
     """
     per_year = yearly.groupBy("report_year", "risk_category").agg(F.sum("yearly_claims").alias("yearly_claims"))
-    w = Window.partitionBy("risk_category")
-    return per_year.withColumn("avg_yearly_claims", ratio(F.sum("yearly_claims").over(w), F.count("*").over(w)))
+    over_years = F.avg("yearly_claims").over(Window.partitionBy("risk_category"))
+    return per_year.withColumn("avg_yearly_claims", over_years)

@@ -74,22 +74,18 @@ def _flags(*columns: str) -> Query:
     return _over_flagged(lambda df: df.select(*CLAIM_KEY, *columns))
 
 
-def _orders_between(spark: SparkSession, sf: str, first: str, end: str) -> DataFrame:
-    placed = F.col("o_orderdate")
-    return star.table(spark, sf, "orders").filter(
-        (placed >= F.lit(first).cast("timestamp_ntz")) & (placed < F.lit(end).cast("timestamp_ntz"))
-    )
-
-
 def scan_year_filter(spark: SparkSession, sf: str) -> DataFrame:
     """One year: the date bounds reach the scan of the orders."""
-    return _present(star.claims_fact(spark, sf, _orders_between(spark, sf, "1997-01-01", "1998-01-01")))
+    return _present(star.claims_fact(
+        spark, sf,
+        "o_orderdate >= timestamp_ntz'1997-01-01' AND o_orderdate < timestamp_ntz'1998-01-01'",
+    ))
 
 
 def union_of_years(spark: SparkSession, sf: str) -> DataFrame:
     """Older years without beneficiary counts, stacked with the later ones."""
-    older = star.claims_fact(spark, sf, _orders_between(spark, sf, "0001-01-01", "1998-01-01"))
-    later = star.claims_fact(spark, sf, _orders_between(spark, sf, "1998-01-01", "9999-12-31"))
+    older = star.claims_fact(spark, sf, "o_orderdate < timestamp_ntz'1998-01-01'")
+    later = star.claims_fact(spark, sf, "o_orderdate >= timestamp_ntz'1998-01-01'")
     return _present(union_years([later, older.drop("beneficiary_count")]))
 
 

@@ -13,7 +13,6 @@ from claimlens.config import Settings
 from claimlens.operators.classify import flag_risk
 from claimlens.operators.clean import clean
 from claimlens.operators.temporal import add_calendar
-from claimlens.schemas import MONEY
 
 # Thresholds and words that exercise every rule on these tables.
 STAR_SETTINGS = Settings(
@@ -24,72 +23,82 @@ STAR_SETTINGS = Settings(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+# Declared, so that opening a table needs no job that looks for its schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
 
-def monthly_orders(orders: DataFrame) -> DataFrame:
-    """Order, customer and month of the order date."""
-    month = F.trunc(F.to_date("o_orderdate"), "month").alias("report_date")
-    return orders.select("o_orderkey", "o_custkey", month)
 
-
-def drugs(parts: DataFrame) -> DataFrame:
-    name = F.upper(F.trim("p_name")).alias("drug_name")
-    return parts.select("p_partkey", "p_size", name, F.upper(F.trim("p_type")).alias("generic_name"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def claims_fact(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
-    """Claims per provider, drug and month.
+def claims_fact(spark: SparkSession, sf_dir: str, orders_where: str = "true") -> DataFrame:
+    """Claims per provider, drug and month, of the orders that meet a condition.
 
     Line items are reduced to the fact's grain on the customer key before the
     provider's names are joined, so the wide text columns never go through
-    the two shuffles of the aggregate. ``orders`` may be a part of the orders.
+    the two shuffles of the aggregate.
     """
-    orders = table(spark, sf_dir, "orders") if orders is None else orders
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", F.col("l_extendedprice").cast(MONEY).alias("cost")
-    )
-    sales = (
-        lines.join(monthly_orders(orders), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(drugs(table(spark, sf_dir, "part")), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("o_custkey", "drug_name", "generic_name", "report_date")
-        .agg(
-            F.sum("l_quantity").cast("bigint").alias("total_claims"),
-            F.count(F.lit(1)).alias("total_fills"),
-            F.sum(F.col("l_quantity") * (F.col("p_size") % 3)).cast("bigint").alias("total_day_supply"),
-            F.sum("cost").cast(MONEY).alias("total_cost"),
-            F.count_distinct("l_suppkey").alias("beneficiary_count"),
+    return spark.sql(
+        """
+        SELECT npi, provider_name, provider_city, provider_state, provider_region, provider_zip,
+               specialty, drug_name, generic_name, report_date, total_claims, total_fills,
+               total_day_supply, total_cost, beneficiary_count
+        FROM (
+            SELECT o_custkey, drug_name, generic_name, report_date,
+                   cast(sum(l_quantity) AS bigint) AS total_claims,
+                   count(1) AS total_fills,
+                   cast(sum(l_quantity * (p_size % 3)) AS bigint) AS total_day_supply,
+                   cast(sum(cast(l_extendedprice AS decimal(18, 2))) AS decimal(18, 2)) AS total_cost,
+                   count(DISTINCT l_suppkey) AS beneficiary_count
+            FROM {lineitem}
+            JOIN (SELECT o_orderkey, o_custkey, trunc(cast(o_orderdate AS date), 'month') AS report_date
+                  FROM {orders}) ON l_orderkey = o_orderkey
+            JOIN (SELECT p_partkey, p_size, upper(trim(p_name)) AS drug_name, upper(trim(p_type)) AS generic_name
+                  FROM {part}) ON l_partkey = p_partkey
+            GROUP BY o_custkey, drug_name, generic_name, report_date
         )
-    )
-    return sales.join(providers(spark, sf_dir), "o_custkey").select(
-        "npi", "provider_name", "provider_city", "provider_state", "provider_region", "provider_zip",
-        "specialty", "drug_name", "generic_name", "report_date", "total_claims", "total_fills",
-        "total_day_supply", "total_cost", "beneficiary_count",
+        JOIN {providers} USING (o_custkey)
+        """,
+        lineitem=table(spark, sf_dir, "lineitem"),
+        orders=table(spark, sf_dir, "orders").filter(orders_where),
+        part=table(spark, sf_dir, "part"),
+        providers=providers(spark, sf_dir),
     )
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    places = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    return table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("o_custkey"),
-        key.cast("string").alias("npi"),
-        F.col("c_name").alias("provider_name"),
-        F.concat(F.lit("CITY_"), (key % 50).cast("string")).alias("provider_city"),
-        F.col("n_name").alias("provider_state"),
-        F.col("r_name").alias("provider_region"),
-        F.lpad((key % 97).cast("string"), 5, "0").alias("provider_zip"),
-        F.col("c_mktsegment").alias("specialty"),
+    """Customers as providers, with the nation as state."""
+    return spark.sql(
+        """
+        SELECT c_custkey AS o_custkey, cast(c_custkey AS string) AS npi, c_name AS provider_name,
+               concat('CITY_', c_custkey % 50) AS provider_city,
+               n_name AS provider_state, r_name AS provider_region,
+               lpad(cast(c_custkey % 97 AS string), 5, '0') AS provider_zip, c_mktsegment AS specialty
+        FROM {customer}
+        JOIN (SELECT n_nationkey, n_name, r_name FROM {nation} JOIN {region} ON n_regionkey = r_regionkey)
+          ON c_nationkey = n_nationkey
+        """,
+        customer=table(spark, sf_dir, "customer"),
+        nation=table(spark, sf_dir, "nation"),
+        region=table(spark, sf_dir, "region"),
     )
 
 
-def flagged_fact(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+def flagged_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact, cleaned, classified and dated."""
     return (
-        claims_fact(spark, sf_dir, orders)
+        claims_fact(spark, sf_dir)
         .transform(clean, STAR_SETTINGS)
         .transform(flag_risk, STAR_SETTINGS)
         .transform(add_calendar, "report_date")
