@@ -59,7 +59,8 @@ def claims_fact(spark: SparkSession, sf_dir: str, orders_where: str = "true") ->
                    cast(sum(l_quantity) AS bigint) AS total_claims,
                    count(1) AS total_fills,
                    cast(sum(l_quantity * (p_size % 3)) AS bigint) AS total_day_supply,
-                   cast(sum(cast(l_extendedprice AS decimal(18, 2))) AS decimal(18, 2)) AS total_cost,
+                   cast(cast(sum(cast(cast(l_extendedprice AS decimal(18, 2)) * 100 AS bigint))
+                             AS decimal(20, 0)) / 100 AS decimal(18, 2)) AS total_cost,
                    count(DISTINCT l_suppkey) AS beneficiary_count
             FROM {lineitem}
             JOIN (SELECT o_orderkey, o_custkey, trunc(cast(o_orderdate AS date), 'month') AS report_date
