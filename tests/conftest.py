@@ -21,6 +21,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
