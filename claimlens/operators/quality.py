@@ -41,6 +41,11 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows, any."""
+    return df.limit(rows)
+
+
 def missing_values(df: DataFrame) -> DataFrame:
     """The columns that have NULLs, most first."""
     return (

@@ -166,6 +166,28 @@ def _rule_columns(**blanked) -> str:
     return ", ".join(f"nullif({n}, {blanked[n]}) AS {n}" if n in blanked else n for n in names)
 
 
+# Columns of the enriched fact and their Spark types.
+ENRICHED_TYPES = {
+    **dict.fromkeys((
+        "npi", "provider_name", "provider_city", "provider_state", "provider_region", "provider_zip", "specialty",
+        "drug_name", "generic_name", "data_quality", "risk_category", "report_quarter", "org_name", "npi_state",
+    ), "string"),
+    **dict.fromkeys(("total_claims", "total_fills", "total_day_supply", "beneficiary_count"), "bigint"),
+    **dict.fromkeys(("cost_per_claim", "cost_per_day", "avg_day_supply"), "double"),
+    **dict.fromkeys((
+        "is_opioid", "is_benzodiazepine", "is_stimulant", "is_high_risk", "report_year", "report_month",
+    ), "int"),
+    "report_date": "date",
+    "total_cost": "decimal(18,2)",
+}
+PROFILE = """
+SELECT *, cast(null_count AS double) / nullif(row_count, 0) * 100 AS null_pct FROM (
+""" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS column_type, count(*) AS row_count, count(*) - count({c}) AS null_count "
+    "FROM enriched"
+    for c, t in ENRICHED_TYPES.items()
+) + ") c"
+
 TOP_PROVIDER_ORDER = (
     "provider_total_claims DESC, npi, provider_name, provider_city, provider_state, provider_zip, specialty"
 )
@@ -264,6 +286,8 @@ FROM (SELECT report_year, risk_category, cast(sum(yearly_claims) AS bigint) AS y
     "geo_state": _over("state", "SELECT * FROM state"),
     "geo_zip_opioid": _over("zip", "SELECT * FROM zip"),
     "geo_level_region": _over("flagged", _geo("provider_region", "county")),
+    "geo_county": _over("flagged", _geo("provider_county", "county").replace(
+        "FROM flagged", "FROM (SELECT *, concat('COUNTY_', substr(provider_zip, 4, 1)) AS provider_county FROM flagged) f")),
     "geo_rollup": _over("flagged", """
 SELECT provider_state, provider_zip, 'zip' AS geo_level, cast(sum(total_claims) AS bigint) AS total_claims,
        cast(sum(cast(total_cost AS decimal(18,2))) AS double) AS total_cost
@@ -372,14 +396,9 @@ FROM provider GROUP BY provider_state"""),
 provider AS ({PROVIDER})
 SELECT * FROM provider WHERE opioid_percentage BETWEEN 20 AND 80"""),
     "q_zip_drilldown": _over("zip", "SELECT * FROM zip WHERE provider_state = 'NATION_5'"),
-    "profile_nulls": _over("enriched", """
-SELECT column_name, null_count, cast(null_count AS double) / n * 100 AS null_pct FROM (
-  SELECT 'cost_per_day' AS column_name, count(*) - count(cost_per_day) AS null_count, count(*) AS n FROM enriched
-  UNION ALL SELECT 'org_name', count(*) - count(org_name), count(*) FROM enriched
-  UNION ALL SELECT 'npi_state', count(*) - count(npi_state), count(*) FROM enriched
-  UNION ALL SELECT 'total_cost', count(*) - count(total_cost), count(*) FROM enriched
-  UNION ALL SELECT 'avg_day_supply', count(*) - count(avg_day_supply), count(*) FROM enriched) c
-WHERE null_count > 0"""),
+    "profile_nulls": _over("enriched", f"""
+SELECT column_name, null_count, null_pct FROM ({PROFILE}) p WHERE null_count > 0"""),
+    "profile_columns": _over("enriched", PROFILE),
     "quality_score": _over("enriched", """
 SELECT count(*) AS total_records,
        count(*) FILTER (WHERE npi IS NOT NULL AND drug_name IS NOT NULL AND org_name IS NOT NULL) AS complete_records,

@@ -135,6 +135,14 @@ def profile_nulls(spark: SparkSession, sf: str) -> DataFrame:
     return quality.missing_values(_enriched(spark, sf))
 
 
+def geo_county(spark: SparkSession, sf: str) -> DataFrame:
+    """Counties by the fourth digit of the ZIP, through a crosswalk of the providers' ZIPs."""
+    crosswalk = star.providers(spark, sf).selectExpr(
+        "provider_zip", "concat('COUNTY_', substr(provider_zip, 4, 1)) AS provider_county"
+    )
+    return _present(geo.geo_aggregate(geo.add_county(star.flagged_fact(spark, sf), crosswalk), "county"))
+
+
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_score(_enriched(spark, sf), ["npi", "drug_name", "org_name"])
 
@@ -217,6 +225,7 @@ QUERIES: dict[str, Query] = {
     "geo_state": _over_states(lambda states: states),
     "geo_zip_opioid": _over_flagged(geo.zip_opioid),
     "geo_level_region": _over_flagged(lambda df: geo.geo_aggregate(df, "county", "provider_region")),
+    "geo_county": geo_county,
     "geo_rollup": _over_flagged(geo.geo_rollup),
     "geo_per_capita": geo_per_capita,
     "hotspot_state": _over_flagged(_hotspots),
@@ -252,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "q_dashboard_filter": dashboard_filter,
     "q_zip_drilldown": _over_flagged(lambda df: dashboard.zip_drilldown(geo.zip_opioid(df), "NATION_5")),
     "profile_nulls": profile_nulls,
+    "profile_columns": lambda spark, sf: quality.column_profile(_enriched(spark, sf)),
     "quality_score": quality_score,
     "duplicates": _over_flagged(lambda df: quality.duplicates(df, ["npi", "drug_name"])),
     "outliers_zscore": outliers_zscore,

@@ -56,3 +56,8 @@ def write_table(
 def file_count(rows: int, wanted: int, rows_per_file: int = ROWS_PER_FILE) -> int:
     """``wanted`` files, or more where those would hold over ``rows_per_file`` rows each."""
     return max(wanted, ceil(rows / rows_per_file))
+
+
+def export_sample(df: DataFrame, path: str, rows: int = 10_000) -> int:
+    """Write at most ``rows`` rows as one CSV file, for a look at the data."""
+    return write_table(df.limit(rows), path, fmt="csv", files=1)

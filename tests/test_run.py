@@ -7,7 +7,7 @@ from test_sources import raw  # noqa: F401 - fixture
 
 from claimlens.plans import transformation
 from claimlens.sinks.marts import read_clean
-from claimlens.sinks.writers import file_count, write_table
+from claimlens.sinks.writers import export_sample, file_count, write_table
 from claimlens.sources.readers import RawPaths
 
 
@@ -54,6 +54,12 @@ def test_file_count_grows_with_the_rows():
     assert file_count(0, 1) == 1
 
 
+def test_sample_export(spark, tmp_path):
+    assert export_sample(spark.range(1000), f"{tmp_path}/s", 20) == 20
+    assert export_sample(spark.range(10), f"{tmp_path}/s", 20) == 10
+    assert len(data_files(f"{tmp_path}/s", "csv")) == 1
+
+
 def test_full_run_writes_all_layers(spark, raw, tmp_path):  # noqa: F811
     out = f"{tmp_path}/out"
     catalog = transformation.run(spark, RawPaths.under(str(raw)), out, 2022, quarter="Q4")
