@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, STANDARD, Settings
 from claimlens.functions.columns import first_true, mentions_any, percent, text_sql
+from claimlens.functions.joins import join_unique
 
 RISK_FLAGS = ("is_opioid", "is_benzodiazepine", "is_stimulant", "is_high_risk")
 
@@ -47,7 +48,7 @@ def risk_from_reference(df: DataFrame, reference: DataFrame, settings: Settings
         flag: F.expr(f"coalesce(cast(__listed = {text_sql(name)} AS int), {flag})") for name, flag, _ in lists
     }
     return (
-        df.join(listed, "drug_name", "left")
+        join_unique(df, listed, "drug_name")
         .withColumns({**decided, "risk_category": F.coalesce("__listed", "risk_category")})
         .withColumn("is_high_risk", F.greatest(*decided))
         .drop("__listed")

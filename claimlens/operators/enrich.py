@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.functions.joins import join_unique
 from claimlens.schemas import REGISTRY_NAMES
 
 
@@ -34,7 +35,7 @@ def enrich(claims: DataFrame, registry: DataFrame, key: str = "npi") -> DataFram
     No broadcast hint: the registry may be large. AQE broadcasts it when it
     turns out small and otherwise splits a hot provider of the sort-merge join.
     """
-    return claims.join(registry.transform(keep_latest, key), key, "left")
+    return join_unique(claims, registry.transform(keep_latest, key), key)
 
 
 def unmatched_providers(claims: DataFrame, registry: DataFrame, key: str = "npi") -> DataFrame:

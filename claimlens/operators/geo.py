@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, GEO_LEVELS
 from claimlens.functions.columns import ratio
+from claimlens.functions.joins import join_unique
 from claimlens.functions.ranking import with_percent_rank
 from claimlens.operators.aggregate import CLAIMS, COST, PATIENTS, PROVIDERS, UNIT_COST, Grouping
 
@@ -58,7 +59,7 @@ def add_county(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
     claim is counted twice.
     """
     one_each = crosswalk.groupBy("provider_zip").agg(F.min("provider_county").alias("provider_county"))
-    return df.join(one_each, "provider_zip", "left")
+    return join_unique(df, one_each, "provider_zip")
 
 
 def zip_opioid(df: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def per_capita(geo: DataFrame, census: DataFrame, key: str, claims: str, level:
         .groupBy(F.col("geo_key").alias(key))
         .agg(F.max("population").alias("population"))
     )
-    return geo.join(people, key, "left").withColumn(
+    return join_unique(geo, people, key).withColumn(
         "claims_per_100k", ratio(claims, "population") * 100000
     )
 

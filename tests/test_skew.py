@@ -1,0 +1,83 @@
+"""A third of all rows under one key: joins must split it, and lose nothing."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.config import DEFAULTS
+from claimlens.operators import dashboard, enrich
+from claimlens.operators.classify import risk_from_reference
+
+# Small enough that the test's hot key counts as skewed, and nothing is broadcast.
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rows(spark, n=60_000):
+    hot = "if(id % 3 = 0, 'HOT', cast(id % 5000 AS string))"
+    return spark.range(0, n, 1, 8).selectExpr(
+        f"{hot} AS npi", f"{hot} AS drug_name", "if(id % 3 = 0, 'HOT', concat('S', id % 50)) AS provider_state",
+        "'STANDARD' AS risk_category", "0 AS is_opioid", "0 AS is_benzodiazepine", "0 AS is_stimulant",
+        "0 AS is_high_risk", "id", "if(id % 2 = 0, NULL, id % 700) AS provider_opioid_claims",
+        "cast(id % 100 AS double) AS opioid_percentage", "md5(cast(id AS string)) AS payload",
+    )
+
+
+def test_registry_join_splits_a_hot_provider(skewed):
+    registry = skewed.range(5000).selectExpr("if(id = 1, 'HOT', cast(id AS string)) AS npi", "id AS org_name")
+    check(enrich.enrich(rows(skewed), registry), 60_000, "org_name = 1", 20_000)
+
+
+def test_reference_join_splits_a_hot_drug(skewed):
+    reference = skewed.range(5000).selectExpr("if(id = 1, 'HOT', cast(id AS string)) AS drug_name", "'OPIOID' AS risk_category")
+    joined = risk_from_reference(rows(skewed), reference, DEFAULTS)
+    check(joined, 60_000, "drug_name = 'HOT' AND is_opioid = 1", 20_000)
+
+
+def test_state_average_splits_a_hot_state(skewed):
+    averaged = dashboard.with_state_average(rows(skewed))
+    check(averaged, 60_000, "provider_state = 'HOT' AND state_avg_opioid_pct IS NOT NULL", 20_000)
+
+
+def test_state_rank_splits_a_hot_amount(skewed):
+    nulls_last = rows(skewed).filter("provider_state = 'HOT'").agg(F.count("provider_opioid_claims")).first()[0]
+    ranked = dashboard.rank_in_state(rows(skewed))
+    check(ranked, 60_000, f"provider_state = 'HOT' AND state_rank = {nulls_last + 1}", 10_000)
+
+
+def check(df, total, condition, matching):
+    held = df.select("*", F.expr(condition).alias("held")).collect()
+    assert len(held) == total
+    assert sum(bool(r.held) for r in held) == matching
+
+
+@pytest.mark.parametrize("operator", ["registry", "reference", "average", "rank"])
+def test_plan_splits_the_hot_key(skewed, operator):
+    df = rows(skewed)
+    other = skewed.range(5000).selectExpr(
+        "if(id = 1, 'HOT', cast(id AS string)) AS npi", "if(id = 1, 'HOT', cast(id AS string)) AS drug_name",
+        "'OPIOID' AS risk_category", "id AS org_name")
+    joined = {
+        "registry": lambda: enrich.enrich(df, other.select("npi", "org_name")),
+        "reference": lambda: risk_from_reference(df, other.select("drug_name", "risk_category")),
+        "average": lambda: dashboard.with_state_average(df),
+        "rank": lambda: dashboard.rank_in_state(df),
+    }[operator]()
+    joined.collect()
+    plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "skew=true" in plan
