@@ -27,6 +27,7 @@ class MartFile:
     keep_other_partitions: bool = False
 
 
+# Folders, file counts and titles that readers of the output know.
 CLEAN_PATH = "clean"
 CLEAN_PARTITIONS = ("provider_state", "risk_category")
 CATALOG_PATH = "catalog"
