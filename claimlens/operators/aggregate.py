@@ -32,4 +32,5 @@ class Grouping:
 
     def of(self, df: DataFrame) -> DataFrame:
         rows = df.filter(self.where) if self.where else df
-        return rows.groupBy(*self.keys).agg(*[F.expr(f"{measure} AS {name}") for name, measure in self.measures.items()])
+        measures = [F.expr(f"{measure} AS {name}") for name, measure in self.measures.items()]
+        return rows.groupBy(*self.keys).agg(*measures)

@@ -287,7 +287,8 @@ FROM (SELECT report_year, risk_category, cast(sum(yearly_claims) AS bigint) AS y
     "geo_zip_opioid": _over("zip", "SELECT * FROM zip"),
     "geo_level_region": _over("flagged", _geo("provider_region", "county")),
     "geo_county": _over("flagged", _geo("provider_county", "county").replace(
-        "FROM flagged", "FROM (SELECT *, concat('COUNTY_', substr(provider_zip, 4, 1)) AS provider_county FROM flagged) f")),
+        "FROM flagged",
+        "FROM (SELECT *, concat('COUNTY_', substr(provider_zip, 4, 1)) AS provider_county FROM flagged) f")),
     "geo_rollup": _over("flagged", """
 SELECT provider_state, provider_zip, 'zip' AS geo_level, cast(sum(total_claims) AS bigint) AS total_claims,
        cast(sum(cast(total_cost AS decimal(18,2))) AS double) AS total_cost

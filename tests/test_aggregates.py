@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from claimlens.operators import dashboard, enrich, geo, marts, temporal
 from claimlens.operators.classify import flag_risk
 from claimlens.operators.clean import clean
+from claimlens.schemas import CENSUS
 
 
 @pytest.fixture
@@ -82,7 +83,8 @@ def test_zip_counts_opioids_only_and_keeps_zeros(fact):
 
 def test_county_through_a_crosswalk(spark, fact):
     crosswalk = spark.createDataFrame(
-        [("02101", "SUFFOLK"), ("02101", "ESSEX"), ("10001", "NEW YORK")], "provider_zip string, provider_county string")
+        [("02101", "SUFFOLK"), ("02101", "ESSEX"), ("10001", "NEW YORK")],
+        "provider_zip string, provider_county string")
     counties = geo.geo_aggregate(geo.add_county(fact, crosswalk), "county")
     got = by(counties, "provider_county", "risk_category")
     assert got["ESSEX", "OPIOID"].county_total_claims == 60
@@ -97,7 +99,7 @@ def test_rollup_tells_subtotals_from_null_keys(fact):
 
 
 def test_per_capita_is_null_without_population(spark, fact):
-    census = spark.createDataFrame([("state", "NY", 1000), ("zip", "CA", 5)], "geo_level string, geo_key string, population bigint")
+    census = spark.createDataFrame([("state", "NY", 1000), ("zip", "CA", 5)], CENSUS)
     got = by(geo.per_capita(geo.geo_aggregate(fact), census, "provider_state", "state_total_claims"),
              "provider_state", "risk_category")
     assert got["NY", "OPIOID"].claims_per_100k == 6000.0

@@ -74,7 +74,8 @@ def test_trend_line_skips_providers_without_percentage(spark):
 
 def test_quadrants_and_shares(spark):
     drugs = spark.createDataFrame(
-        [("A", 10, 1.0), ("B", 30, 9.0), ("C", 20, 5.0)], "drug_name string, drug_total_claims bigint, avg_cost_per_claim double")
+        [("A", 10, 1.0), ("B", 30, 9.0), ("C", 20, 5.0)],
+        "drug_name string, drug_total_claims bigint, avg_cost_per_claim double")
     assert {r.drug_name: r.quadrant for r in dashboard.drug_quadrants(drugs).collect()} == {
         "A": "Low volume, low cost", "B": "High volume, high cost", "C": "High volume, high cost"}
     specialties = spark.createDataFrame(

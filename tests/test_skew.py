@@ -44,7 +44,8 @@ def test_registry_join_splits_a_hot_provider(skewed):
 
 
 def test_reference_join_splits_a_hot_drug(skewed):
-    reference = skewed.range(5000).selectExpr("if(id = 1, 'HOT', cast(id AS string)) AS drug_name", "'OPIOID' AS risk_category")
+    reference = skewed.range(5000).selectExpr(
+        "if(id = 1, 'HOT', cast(id AS string)) AS drug_name", "'OPIOID' AS risk_category")
     joined = risk_from_reference(rows(skewed), reference, DEFAULTS)
     check(joined, 60_000, "drug_name = 'HOT' AND is_opioid = 1", 20_000)
 
