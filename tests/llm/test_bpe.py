@@ -1,0 +1,74 @@
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from claimlens.llm import bpe
+
+FILE = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    "", " ", "a", "Hello  world\n\n x", "it's we'll 'S 12345 ½ ² Ⅷ", "tab\tend ", "x<|endoftext|>y <|endoftext|> <|endoftext|>",
+    "é" * 300, "ab" * 700, "\x1c\x1d a\x1eb \x85 c d", "日本語 テキスト 🙂🙂 👩‍👩‍👧", "a_b __ _!_ !_!   x", "   \n  lead", "<|endoftext", "%%% *** word%%% word***",
+]
+
+
+@pytest.fixture(scope="module")
+def ours():
+    return bpe.loaded(open(FILE, "rb").read())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(FILE)
+
+
+def ids_of(packed):
+    return memoryview(packed).cast("I").tolist()
+
+
+def random_texts(n):
+    rng = random.Random(5)
+    letters = "ab'sdtl re  \n\t._-%9é½ßÑ日<|endoftext|>🙂​́"
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(n)]
+
+
+def test_equals_library(ours, library):
+    for text in TEXTS + random_texts(3000):
+        want = library.encode(text, add_special_tokens=False).ids
+        got = ours.encode(text)
+        assert ids_of(got) == want, text
+        assert ours.decode(got) == library.decode(want, skip_special_tokens=False) == text
+
+
+def test_long_words_equal_short_ones(ours):
+    rng = random.Random(1)
+    for _ in range(200):
+        word = bytes(rng.choice(b"abctheing on") for _ in range(rng.randrange(1, bpe.SHORT)))
+        assert ours._pieces_of_long([ours.byte_ids[b] for b in word]) == ours.pieces(word)
+
+
+def test_broken_bytes_decode_to_replacements(ours, library):
+    ids = ours.encode("é")
+    for i in ids_of(ours.encode("日"))[:1] + ids_of(ids)[:1]:
+        packed = i.to_bytes(4, "little")
+        assert ours.decode(packed) == library.decode([i], skip_special_tokens=False)
+
+
+def test_columns_rows_and_nulls(spark):
+    rows = [(1, None, "x"), (1, "", "y"), (None, "a b", None), (1, "a b", "z"), (1, "a b", "z"), (2, "w " * 30000, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids2 string").withColumnRenamed("ids2", "n_tokens")
+    coded = bpe.decode(bpe.encode(docs))
+    assert coded.columns == ["doc_id", "text", "n_tokens", "ids", "decoded"]
+    out = coded.collect()
+    assert len(out) == 6
+    assert all((r.text or "") == r.decoded for r in out)
+    assert bpe.encode(docs.limit(0)).count() == 0
+
+
+def test_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 3)
+    memo = bpe._Memo(str.upper)
+    assert [memo[x] for x in "abcdab"] == list("ABCDAB") and len(memo) <= 3
+    memo["z" * 1000]
+    assert "z" * 1000 not in memo
