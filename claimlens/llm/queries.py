@@ -1,10 +1,13 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, simhash, token_counts
+from claimlens.llm import bpe, decontaminate, simhash, token_counts
 
 QUERIES = {
+    "op6_decontamination": decontaminate.op6_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
     "op10_simhash": simhash.op10_simhash,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_decontamination": decontaminate.OP6_SQL,
+}
