@@ -1,11 +1,13 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, simhash, token_counts
+from claimlens.llm import bpe, decontaminate, lang_id, quality_fm, simhash, token_counts
 
 QUERIES = {
+    "op3_quality": quality_fm.op3_quality,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
+    "op9_language": lang_id.op9_language,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLE: dict[str, str] = {

@@ -1,0 +1,105 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.llm import lang_id, quality_fm
+
+
+def test_pairs_by_sum_of_squares_equal_all_pairs():
+    rng = np.random.default_rng(1)
+    m = quality_fm.Model(0.3, rng.normal(0, 0.1, quality_fm.WIDTH), rng.normal(0, 0.1, (quality_fm.WIDTH, quality_fm.FACTORS)), np.zeros(quality_fm.STATISTICS), np.ones(quality_fm.STATISTICS))
+    index, value = quality_fm.features("Some words, some WORDS here!!", 29)
+    x = m.scaled(value)
+    raw = m.bias + sum(m.weights[i] * v for i, v in zip(index, x))
+    for a in range(len(index)):
+        for b in range(a + 1, len(index)):
+            raw += float(m.factors[index[a]] @ m.factors[index[b]]) * x[a] * x[b]
+    assert m.score(index, value) == pytest.approx(1 / (1 + math.exp(-raw)))
+
+
+def test_machine_learns_an_interaction():
+    """Label is the exclusive or of two words, which no linear score can tell."""
+    rng = random.Random(2)
+    rows, texts = [], []
+    for _ in range(400):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        texts.append((f"{'left' if a else 'lost'} {'right' if b else 'rough'}", int(a != b)))
+    rows = [(*quality_fm.features(t, 10), y) for t, y in texts]
+    model = quality_fm.fit(rows)
+    assert np.mean([(model.score(*quality_fm.features(t, 10)) >= 0.5) == y for t, y in texts]) > 0.95
+
+
+def rows_of(spark, n=400):
+    rng = random.Random(3)
+    good = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(40))
+    docs = [(k, good() if k % 4 else good().upper().replace(" ", "!! "), "en" if k % 3 else "xx", "s", 100, 0.0) for k in range(n)]
+    docs += [(None, None, None, None, None, None), (1000, "", "en", "s", 0, None), (1001, "x", None, None, None, None), (7, docs[7][1], "en", "s", None, 1.0)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, score double")
+    labels = spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(0, n, 2)] + [(None, 1, 0), (3, None, 1)], "doc_id long, quality int, toxic int")
+    return d, labels
+
+
+def test_quality_on_rows_not_learnt_from(spark):
+    docs, labels = rows_of(spark)
+    out = quality_fm.scored(docs.drop("score"), quality_fm.train(docs, labels)).withColumn("h", quality_fm.held_out())
+    got = out.collect()
+    assert len(got) == 404 and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.h and r.doc_id < 400]
+    assert len(held) > 80 and np.mean([(r.score >= 0.5) == (r.doc_id % 4 > 0) for r in held]) > 0.97
+    kept = quality_fm.keep_good(docs, labels)
+    assert kept.columns == docs.columns and 250 < kept.count() < 350
+
+
+def test_quality_learns_from_no_held_out_row(spark):
+    docs, labels = rows_of(spark, 60)
+    flipped = labels.withColumn("quality", F.when(quality_fm.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = quality_fm.train(docs, labels), quality_fm.train(docs, flipped)
+    assert a.bias == b.bias and (a.weights == b.weights).all() and (a.factors == b.factors).all()
+
+
+def test_quality_without_rows_or_labels(spark):
+    docs, labels = rows_of(spark, 8)
+    none = quality_fm.train(docs, labels.limit(0))
+    assert none is None and {r.score for r in quality_fm.scored(docs, none).collect()} == {0.5}
+    assert quality_fm.scored(docs.limit(0), none).count() == 0
+
+
+def test_grams_count_every_character(monkeypatch):
+    text = "Straße ἀβγ 日本語 " * 50
+    whole = lang_id.grams(text)
+    monkeypatch.setattr(lang_id, "SLICE", 7)
+    cut = lang_id.grams(text)
+    assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+    n = len(text.lower())
+    assert whole[1].sum() == n + (n - 1) + (n - 2)
+    assert lang_id.grams("")[0].size == 0 and lang_id.grams("a")[1].sum() == 1
+
+
+def test_languages_on_rows_not_learnt_from(spark):
+    rng = random.Random(4)
+    kinds = {"aa": "the and of to in it", "bb": "le la les des et que", "cc": "der die und das ein zu"}
+    docs = [(k, " ".join(rng.choice(kinds[y].split()) for _ in range(20)), y, 1) for k, y in enumerate(rng.choices([*kinds], k=300))]
+    docs += [(None, None, "aa", 1), (900, "", "bb", 1), (901, "123 !!", None, 1), (902, "the and it", None, 1), (4, docs[4][1], docs[4][2], 2)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, language int").drop("language")
+    model = lang_id.train(d)
+    got = lang_id.predicted(d, model).withColumn("h", lang_id.held_out()).collect()
+    assert len(got) == 305
+    held = [r for r in got if r.h and r.doc_id < 300]
+    assert len(held) > 40 and np.mean([r.language.lang == r.lang for r in held]) > 0.97
+    by = {r.doc_id: r.language for r in got}
+    assert by[900].lang == by[901].lang == by[None].lang == "und" and by[902].lang == "aa"
+    assert (model.weights == 0).mean() > 0.5  # sparse
+    assert model.temperature > 0
+    empty = lang_id.train(d.limit(0))
+    assert {r.language.lang for r in lang_id.predicted(d, empty).collect()} == {"und"}
+
+
+def test_language_learns_from_no_held_out_row(spark):
+    docs = [(k, "the and of" if k % 2 else "le la des", "a" if k % 2 else "b") for k in range(40)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    other = d.withColumn("lang", F.when(lang_id.held_out(), F.lit("zz")).otherwise(F.col("lang"))).withColumn("text", F.when(lang_id.held_out(), F.lit("qq ww")).otherwise(F.col("text")))
+    a, b = lang_id.train(d), lang_id.train(other)
+    assert a.languages == b.languages and (a.idf == b.idf).all() and (a.weights == b.weights).all()
