@@ -34,7 +34,7 @@ SEPARATORS = re.compile(r"[\x1c-\x1f]")
 #: White space at an end of a space-separated chunk: a run that such a chunk would cut.
 EDGE_SPACE = re.compile(r"\s | \s|\A\s|\s\Z")
 SHORT = 128
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 100_000
 MEMO_LENGTH = 200
 FREE = 1 << 62
 
