@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, lang_id, quality_fm, simhash, token_counts
+from claimlens.llm import bpe, decontaminate, html_extract, lang_id, quality_fm, simhash, token_counts
 
 QUERIES = {
+    "op1_main_text": html_extract.op1_main_text,
     "op3_quality": quality_fm.op3_quality,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
