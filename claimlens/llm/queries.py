@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, html_extract, lang_id, quality_fm, simhash, token_counts
+from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, quality_fm, simhash, token_counts
 
 QUERIES = {
     "op1_main_text": html_extract.op1_main_text,
     "op3_quality": quality_fm.op3_quality,
+    "op4_top_k": kdtree_topk.op4_top_k,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,
@@ -12,5 +13,6 @@ QUERIES = {
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLE: dict[str, str] = {
+    "op4_top_k": kdtree_topk.OP4_SQL,
     "op6_decontamination": decontaminate.OP6_SQL,
 }
