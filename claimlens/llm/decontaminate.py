@@ -19,11 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from claimlens.llm.common import stored, table
+from claimlens.llm.common import small, stored, table
 
 WINDOW = 10
-#: A side of at most so many bytes, measured before, is broadcast.
-BROADCAST_BYTES = 16 << 20
 SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -34,12 +32,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, SPLIT), "")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """df, to be broadcast if its measured size allows."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
-
-
 def windows(items: DataFrame, id: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
     """Each distinct window with the ids of its items: (window, words, items)."""
     words = items.where(F.col(id).isNotNull()).select(F.col(id).cast("string").alias("item"), words_of(F.col(text)).alias("w")).where("size(w) > 0")
@@ -52,7 +44,7 @@ def prefixes(found: DataFrame, docs_words: DataFrame) -> DataFrame:
     """Each window's rarest word in the documents and its place: (word, window, words, at). Windows with a word that no document has are left out."""
     each = found.select("window", F.posexplode("words").alias("at", "word"))
     vocabulary = stored(each.select("word").distinct(), "benchmark-words")
-    counts = docs_words.join(_small(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
+    counts = docs_words.join(small(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
     ranked = each.join(stored(counts, "word-counts"), "word", "left").fillna(0, ["n"])
     rarest = ranked.groupBy("window").agg(F.min(F.struct("n", "word", "at")).alias("r")).where("r.n > 0")
     return found.join(rarest.select("window", "r.word", "r.at"), "window").select("word", "window", "words", "items", "at")
@@ -64,8 +56,8 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "
     found = stored(windows(items, item_id, item_text, size), "windows")
     exploded = words.select("id", "text_hash", F.size("w").alias("length"), F.posexplode("w").alias("at", "word"))
     firsts = stored(prefixes(found, exploded.select("word")), "prefixes")
-    near = exploded.join(_small(firsts.select("word").distinct()), "word").select("id", "text_hash", "length", F.col("at").alias("place"), F.col("word").alias("rare"))
-    met = near.join(_small(firsts.drop("items")), near.rare == F.col("word"))
+    near = exploded.join(small(firsts.select("word").distinct()), "word").select("id", "text_hash", "length", F.col("at").alias("place"), F.col("word").alias("rare"))
+    met = near.join(small(firsts.drop("items")), near.rare == F.col("word"))
     # Positional and length bounds: the window starts at or after the first word and ends at or before the last.
     bounded = met.withColumn("start", F.col("place") - F.col("at")).where((F.col("start") >= 0) & (F.col("start") + F.size("words") <= F.col("length")))
     candidate = F.struct("start", "window", "words")
@@ -77,7 +69,7 @@ def matches(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "
     split = wanted.select("id", "text_hash", "c", words_of(F.col("text")).alias("w"))
     held = split.select("id", "text_hash", F.explode(F.expr("filter(c, x -> slice(w, x.start + 1, size(x.words)) = x.words)")).alias("c"))
     verified = held.select("id", "text_hash", "c.start", "c.window", F.size("c.words").alias("n"))
-    return verified.join(_small(found.select("window", "items")), "window").groupBy("id", "text_hash").agg(
+    return verified.join(small(found.select("window", "items")), "window").groupBy("id", "text_hash").agg(
         F.collect_set(F.struct("start", "n")).alias("spans"),
         F.flatten(F.collect_set("items")).alias("items"),
     )

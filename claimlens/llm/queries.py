@@ -1,11 +1,12 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, quality_fm, simhash, token_counts
+from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, quality_fm, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_main_text": html_extract.op1_main_text,
     "op3_quality": quality_fm.op3_quality,
     "op4_top_k": kdtree_topk.op4_top_k,
+    "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_decontamination": decontaminate.op6_decontamination,
     "op7_token_counts": token_counts.op7_token_counts,
     "op8_bpe": bpe.op8_bpe,

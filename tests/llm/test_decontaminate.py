@@ -1,7 +1,7 @@
 import random
 import re
 
-from claimlens.llm import decontaminate
+from claimlens.llm import common, decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -48,7 +48,7 @@ def test_equals_brute_force(spark, monkeypatch):
     want = plain(docs, items)
     assert any(x[2] for x in want) and not all(x[2] for x in want)
     assert ours(spark, docs, items) == want
-    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert ours(spark, docs, items) == want
     assert ours(spark, docs, items, size=3) == plain(docs, items, 3)
 
