@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, quality_fm, simhash, suffix_dedup, token_counts
+from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, license_scan, quality_fm, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_main_text": html_extract.op1_main_text,
+    "op2_licenses": license_scan.op2_licenses,
     "op3_quality": quality_fm.op3_quality,
     "op4_top_k": kdtree_topk.op4_top_k,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLE: dict[str, str] = {
+    "op2_licenses": license_scan.OP2_SQL,
     "op4_top_k": kdtree_topk.OP4_SQL,
     "op6_decontamination": decontaminate.OP6_SQL,
 }

@@ -1,0 +1,60 @@
+from claimlens.llm import license_scan
+from claimlens.llm.license_scan import notices_in
+
+
+def found(text):
+    return sorted(n["license"] for n in notices_in(text))
+
+
+def test_notices_and_near_misses():
+    assert found("Some words.\nReleased under the MIT License.\nMore words") == ["MIT"]
+    assert found("x\nLicensed under CC BY-NC 4.0.\ny") == ["CC-BY-NC"]
+    assert found("Licensed under CC BY 3.0") == ["CC-BY"] and found("licensed under cc by-sa 4.0") == ["CC-BY-SA"]
+    assert found("THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE, VERSION 3.") == ["GPL"]
+    assert found("This work is licensed under the GNU Lesser General Public License, version 3") == ["LGPL"]
+    assert found("Released under the MIT License. Licensed under the Apache License, Version 2.0.") == ["Apache", "MIT"]
+    assert found("He got a driver's license from the MIT museum; permission granted, copyright 2001") == []
+    assert found("Licensed under the Foo License, Version 2.0") == [] and found("Released under the license of MIT") == []
+    assert found("") == [] and found("licens" * 10) == []
+
+
+def test_one_word_in_ten_may_differ():
+    notice = "under the terms of the GNU General Public License as published by the Free Software Foundation"
+    assert found(notice.replace("Software", "Hardware")) == ["GPL"]
+    assert notices_in(notice.replace("Software", "Hardware"))[0]["differences"] == 1
+    assert found(notice.replace("Software", "Hardware").replace("published", "told")) == []
+    assert found(notice.replace("Public", "Private")) == []
+
+
+def test_compression_ranks_the_notice_first():
+    for name, (_, notices) in license_scan.TEMPLATES.items():
+        for notice in notices:
+            order = license_scan.ranked(notice)
+            assert order[0][1] > 0 and name in [n for n, s in order if s >= order[0][1] - 0.25]
+    assert license_scan.ranked("Licensed under the Apache License, Version 2.0")[0][0] == "Apache"
+
+
+def test_differences_equal_brute_force():
+    import random
+
+    def edits(a, b):
+        row = [*range(len(b) + 1)]
+        for i, x in enumerate(a, 1):
+            row, above = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(above[j - 1] + (x != y), above[j] + 1, row[-1] + 1))
+        return row[-1]
+
+    rng = random.Random(1)
+    for _ in range(300):
+        a, b = ([rng.choice("abc") for _ in range(rng.randrange(1, n))] for n in (6, 9))
+        n, start, end = license_scan.differences(a, b)
+        assert n == min(edits(a, b[i:j]) for i in range(len(b) + 1) for j in range(i, len(b) + 1)) == edits(a, b[start:end])
+
+
+def test_columns_and_odd_rows(spark):
+    docs = spark.createDataFrame([(None, None, 1), (2, "", 2), (3, "Released under the MIT License", 3), (3, "Released under the MIT License", 3), (4, "word\n" * 60000 + "Licensed under CC0 1.0 Universal", 4)], "doc_id long, text string, license int")
+    out = license_scan.scan(docs)
+    assert out.columns == [*docs.columns, "notices"]
+    assert sorted((r.license, [n.license for n in r.notices]) for r in out.collect()) == [(1, []), (2, []), (3, ["MIT"]), (3, ["MIT"]), (4, ["CC0"])]
+    assert license_scan.scan(docs.limit(0)).count() == 0
