@@ -8,6 +8,8 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as entry
+from claimlens.plans.star_oracle import ORACLE
+from claimlens.plans.star_queries import QUERIES
 
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE"}
 
@@ -32,13 +34,14 @@ def sorted_rows(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(entry.oracle_sql()) <= set(entry.queries()) and set(QUERIES) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, small_dir, engine, name):
-    df = entry.queries()[name](spark, small_dir)
-    engine.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, small_dir)
+    engine.execute(ORACLE[name])
     columns = [d[0] for d in engine.description]
     assert sorted(df.columns) == sorted(columns)
     assert {c: TYPES[t] for c, t in df.dtypes} == {d[0]: str(d[1]).upper() for d in engine.description}
