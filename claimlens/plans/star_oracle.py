@@ -5,6 +5,13 @@ Each string is complete: the shared steps are spelled out as WITH clauses.
 
 from __future__ import annotations
 
+
+def significant(value: str) -> str:
+    """Eight significant digits of numbers from 1e-9 up; smaller ones to 17 decimals."""
+    steps = " ".join(f"WHEN abs({value}) >= 1e{p} THEN round({value}, {7 - p})" for p in range(11, -10, -1))
+    return f"CASE WHEN {value} IS NULL THEN NULL {steps} ELSE round({value}, 17) END"
+
+
 KEY = "npi, drug_name, generic_name, report_date"
 
 FACT = """
@@ -87,7 +94,7 @@ SELECT {column}, risk_category,
        {MEASURES.format(p=level + '_total')},
        count(DISTINCT npi) AS {level}_provider_count,
        cast(sum(beneficiary_count) AS bigint) AS {level}_beneficiary_count,
-       round(avg(cost_per_claim) + 1e-7, 4) AS {level}_avg_cost_per_claim
+       {significant('avg(cost_per_claim)')} AS {level}_avg_cost_per_claim
 FROM flagged GROUP BY {column}, risk_category"""
 
 
@@ -95,7 +102,7 @@ def _trend(prefix: str, *period: str) -> str:
     keys = ", ".join((*period, "provider_state", "risk_category"))
     return f"""
 SELECT {keys}, {MEASURES.format(p=prefix)}, count(DISTINCT npi) AS {prefix}_providers,
-       round(avg(cost_per_claim) + 1e-7, 4) AS avg_cost_per_claim
+       {significant('avg(cost_per_claim)')} AS avg_cost_per_claim
 FROM flagged GROUP BY {keys} ORDER BY {keys}"""
 
 
@@ -115,7 +122,7 @@ FROM flagged WHERE is_opioid = 1 GROUP BY provider_zip, provider_state"""
 
 DRUG = f"""
 SELECT drug_name, generic_name, risk_category, {MEASURES.format(p='drug_total')},
-       count(DISTINCT npi) AS prescriber_count, round(avg(cost_per_claim) + 1e-7, 4) AS avg_cost_per_claim,
+       count(DISTINCT npi) AS prescriber_count, {significant('avg(cost_per_claim)')} AS avg_cost_per_claim,
        cast(sum(beneficiary_count) AS bigint) AS total_patients
 FROM flagged GROUP BY drug_name, generic_name, risk_category"""
 
@@ -192,6 +199,8 @@ TOP_PROVIDER_ORDER = (
     "provider_total_claims DESC, npi, provider_name, provider_city, provider_state, provider_zip, specialty"
 )
 
+REFERENCE = "SELECT drug_name FROM (SELECT DISTINCT upper(trim(p_name)) AS drug_name FROM part WHERE upper(p_name) LIKE '%PLATE%') p"
+
 ORACLE: dict[str, str] = {
     "scan_year_filter": _over("fact", """
 SELECT * FROM fact WHERE report_date >= DATE '1997-01-01' AND report_date < DATE '1998-01-01'"""),
@@ -334,10 +343,10 @@ FROM provider GROUP BY provider_state ORDER BY 2 DESC"""),
     "q_highrisk_providers": _over("provider", """
 SELECT npi, provider_name, specialty, opioid_percentage FROM provider WHERE opioid_percentage > 25"""),
     "q_hotspots_only": _over("hotspot", "SELECT * FROM hotspot WHERE is_hotspot = 1"),
-    "q_state_having": _over("provider", """
+    "q_state_having": _over("provider", f"""
 SELECT provider_state, count(DISTINCT npi) AS provider_count,
        cast(sum(provider_opioid_claims) AS bigint) AS total_opioid_claims,
-       round(avg(opioid_percentage) + 1e-7, 4) AS avg_opioid_pct
+       {significant('avg(opioid_percentage)')} AS avg_opioid_pct
 FROM provider WHERE provider_total_claims > 100 GROUP BY provider_state
 HAVING avg(opioid_percentage) > 15 ORDER BY total_opioid_claims DESC"""),
     "q_calc_fields": _over("provider", """
@@ -358,18 +367,18 @@ FROM provider GROUP BY provider_state ORDER BY opioid_claims DESC NULLS LAST, pr
     "q_top100_providers": _over("provider", f"SELECT * FROM provider ORDER BY {TOP_PROVIDER_ORDER} LIMIT 100"),
     "q_top25_drugs": _over("drug", """
 SELECT * FROM drug ORDER BY drug_total_claims DESC, drug_name, generic_name, risk_category LIMIT 25"""),
-    "q_lod_state_avg": _over("provider", """
+    "q_lod_state_avg": _over("provider", f"""
 SELECT npi, provider_state, opioid_percentage,
-       round(avg(opioid_percentage) OVER (PARTITION BY provider_state) + 1e-7, 4) AS state_avg_opioid_pct
+       {significant('avg(opioid_percentage) OVER (PARTITION BY provider_state)')} AS state_avg_opioid_pct
 FROM provider"""),
     "q_rank_in_state": _over("provider", """
 SELECT npi, provider_state, provider_opioid_claims,
        rank() OVER (PARTITION BY provider_state ORDER BY provider_opioid_claims DESC NULLS LAST) AS state_rank
 FROM provider"""),
-    "q_trend_line": _over("provider", """
-SELECT round(regr_slope(opioid_percentage, provider_total_claims) + 1e-7, 4) AS slope,
-       round(regr_intercept(opioid_percentage, provider_total_claims) + 1e-7, 4) AS intercept,
-       round(regr_r2(opioid_percentage, provider_total_claims) + 1e-7, 4) AS r2,
+    "q_trend_line": _over("provider", f"""
+SELECT {significant('regr_slope(opioid_percentage, provider_total_claims)')} AS slope,
+       {significant('regr_intercept(opioid_percentage, provider_total_claims)')} AS intercept,
+       {significant('regr_r2(opioid_percentage, provider_total_claims)')} AS r2,
        cast(regr_count(opioid_percentage, provider_total_claims) AS bigint) AS provider_count
 FROM provider"""),
     "q_drug_quadrants": _over("drug", """
@@ -385,11 +394,11 @@ SELECT * FROM (
   SELECT *, cast(row_number() OVER (PARTITION BY specialty ORDER BY provider_total_claims DESC, npi, provider_name,
          provider_city, provider_state, provider_zip) AS integer) AS specialty_rank
   FROM provider) r WHERE specialty_rank <= 5"""),
-    "q_state_tooltip": _over("provider", """
+    "q_state_tooltip": _over("provider", f"""
 SELECT provider_state, cast(sum(provider_opioid_claims) AS bigint) AS total_opioid_claims,
        count(DISTINCT npi) AS provider_count,
        count(DISTINCT CASE WHEN provider_opioid_claims > 0 THEN npi END) AS opioid_provider_count,
-       round(avg(opioid_percentage) + 1e-7, 4) AS avg_opioid_pct
+       {significant('avg(opioid_percentage)')} AS avg_opioid_pct
 FROM provider GROUP BY provider_state"""),
     "q_dashboard_filter": _over("kept", f"""
 , flagged AS (SELECT * FROM ({FLAGGED}) a WHERE provider_state IN ('NATION_1', 'NATION_7')
@@ -409,7 +418,7 @@ FROM enriched"""),
     "duplicates": _over("flagged", """
 SELECT npi, drug_name, count(*) AS row_count FROM flagged GROUP BY npi, drug_name HAVING count(*) > 1"""),
     "outliers_zscore": _over("fact", f"""
-SELECT {KEY}, cost_per_claim, round(z + 1e-7, 4) AS cost_per_claim_zscore,
+SELECT {KEY}, cost_per_claim, {significant('z')} AS cost_per_claim_zscore,
        CASE WHEN z > 3 THEN 1 ELSE 0 END AS cost_per_claim_is_outlier
 FROM (SELECT r.*, abs((cost_per_claim - m) / nullif(sd, 0)) AS z
       FROM (SELECT *, total_cost / total_claims AS cost_per_claim FROM fact
@@ -424,11 +433,43 @@ FROM (SELECT (SELECT count(*) FROM fact) AS records_extracted, (SELECT count(*)
              (SELECT count(*) FROM flagged WHERE is_high_risk = 1) AS high_risk_count,
              (SELECT count(*) FROM flagged WHERE is_opioid = 1) AS opioid_count,
              (SELECT count(*) FROM hotspot WHERE is_hotspot = 1) AS hotspot_count) n"""),
+    "pipeline_stats_reference": _over("flagged", f"""
+, listed AS ({REFERENCE} WHERE length(drug_name) % 4 IN (0, 1)),
+decided AS (SELECT provider_state, total_claims,
+                   CASE WHEN drug_name IN (SELECT drug_name FROM listed) THEN 'OPIOID' ELSE risk_category END AS category
+            FROM flagged),
+ranked AS (SELECT percent_rank() OVER (PARTITION BY category ORDER BY claims) AS place
+           FROM (SELECT provider_state, category, sum(total_claims) AS claims FROM decided GROUP BY 1, 2) g)
+SELECT *, cast(records_extracted - records_cleaned AS double) / nullif(records_extracted, 0) * 100 AS data_loss_pct,
+       cast(high_risk_count AS double) / nullif(records_cleaned, 0) * 100 AS high_risk_pct,
+       cast(opioid_count AS double) / nullif(records_cleaned, 0) * 100 AS opioid_pct
+FROM (SELECT (SELECT count(*) FROM fact) AS records_extracted, (SELECT count(*) FROM kept) AS records_cleaned,
+             (SELECT count(*) FROM decided WHERE category <> 'STANDARD') AS high_risk_count,
+             (SELECT count(*) FROM decided WHERE category = 'OPIOID') AS opioid_count,
+             (SELECT count(*) FROM ranked WHERE place >= 0.95) AS hotspot_count) n"""),
+    "reference_unknown": f"""
+SELECT CASE WHEN length(drug_name) % 4 = 2 THEN 'OPIOID OTHER' END AS risk_category, count(*) AS row_count,
+       count(DISTINCT drug_name) AS drug_count
+FROM ({REFERENCE}) r WHERE length(drug_name) % 4 IN (2, 3) GROUP BY 1""",
+    "q_topn_large": _over("provider", """
+SELECT * FROM (
+  SELECT *, cast(row_number() OVER (PARTITION BY specialty ORDER BY provider_total_claims DESC, npi, provider_name,
+         provider_city, provider_state, provider_zip) AS integer) AS specialty_rank
+  FROM provider) r WHERE specialty_rank <= 2000"""),
     "reconcile_geo": _over("fact", """
-SELECT provider_state, own_value, supplied_value, own_value - supplied_value AS difference,
-       CASE WHEN own_value = supplied_value THEN 'EQUAL' ELSE 'DIFFERENT' END AS status
-FROM (SELECT provider_state, cast(sum(total_claims) AS bigint) AS own_value,
-             cast(sum(total_claims) AS bigint) + CASE WHEN provider_state = 'NATION_3' THEN 100 ELSE 0 END
-               AS supplied_value
-      FROM fact GROUP BY provider_state) s"""),
+, own AS (SELECT provider_state, sum(total_claims) AS claims, count(DISTINCT npi) AS providers FROM fact
+          WHERE provider_state <> 'NATION_4' GROUP BY provider_state),
+ordered AS (SELECT n_name AS provider_state, count(*) * 100 AS claims, count(DISTINCT o_custkey) AS providers
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+            WHERE n_name <> 'NATION_9' GROUP BY n_name),
+both_sides AS (
+  SELECT provider_state, m.measure, CASE m.measure WHEN 'claims' THEN o.claims ELSE o.providers END AS own_value,
+         CASE m.measure WHEN 'claims' THEN s.claims ELSE s.providers END AS supplied_value,
+         o.claims IS NOT NULL AS mine, s.claims IS NOT NULL AS theirs
+  FROM own o FULL JOIN ordered s USING (provider_state), (VALUES ('claims'), ('providers')) m(measure))
+SELECT provider_state, measure, cast(own_value AS double) AS own_value, cast(supplied_value AS double) AS supplied_value,
+       cast(own_value - supplied_value AS double) AS difference,
+       CASE WHEN NOT theirs THEN 'ONLY_OWN' WHEN NOT mine THEN 'ONLY_SUPPLIED'
+            WHEN abs(own_value - supplied_value) <= 1000 THEN 'EQUAL' ELSE 'DIFFERENT' END AS status
+FROM both_sides"""),
 }

@@ -1,14 +1,14 @@
 """Every operator as a query over the star tables: name -> (spark, sf_dir) -> DataFrame.
 
-Averages and other floating-point sums are rounded here, because their last
-digits depend on the order of the rows; exact ratios are not.
+Averages and other floating-point sums are shown to eight significant digits,
+because their last digits depend on the order of the rows; exact ratios are not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.operators import classify, clean, dashboard, enrich, geo, marts, quality, temporal
@@ -27,13 +27,18 @@ ROUNDED = (
 )
 
 
-def _present(df: DataFrame) -> DataFrame:
-    """Money as double, floating-point averages to four digits.
+def significant(column: str) -> Column:
+    """Eight significant digits of numbers from 1e-9 up; smaller ones to 17 decimals."""
+    value = F.col(column)
+    out = F.round(value, 17)
+    for power in range(-9, 12):
+        out = F.when(F.abs(value) >= float(f"1e{power}"), F.round(value, 7 - power)).otherwise(out)
+    return F.when(value.isNotNull(), out)
 
-    The small shift keeps a mean of few prices off the exact middle between
-    two roundings, where engines disagree.
-    """
-    rounded = {c: F.round(F.col(c) + 1e-7, 4) for c in df.columns if c in ROUNDED}
+
+def _present(df: DataFrame) -> DataFrame:
+    """Money as double, floating-point averages to eight significant digits."""
+    rounded = {c: significant(c) for c in df.columns if c in ROUNDED}
     money = {c: F.col(c).cast("double") for c, kind in df.dtypes if kind.startswith("decimal")}
     return df.withColumns({**rounded, **money})
 
@@ -153,18 +158,41 @@ def geo_per_capita(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reconcile_geo(spark: SparkSession, sf: str) -> DataFrame:
-    """Claims per state from the fact against those from the base tables, one state shifted."""
-    own = star.claims_fact(spark, sf).groupBy("provider_state").agg(F.sum("total_claims").alias("claims"))
+    """Claims and providers per state, from the fact without one state, against totals of other rows.
+
+    The supplied side is of the orders alone: their number by the customers'
+    nations, without another state. So keys are missing on either side.
+    """
+    own = (
+        star.claims_fact(spark, sf)
+        .filter("provider_state <> 'NATION_4'")
+        .groupBy("provider_state")
+        .agg(F.sum("total_claims").alias("claims"), F.countDistinct("npi").alias("providers"))
+    )
     supplied = (
-        star.table(spark, sf, "lineitem")
-        .join(star.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("o_custkey").agg(F.sum("l_quantity").alias("quantity"))
+        star.table(spark, sf, "orders")
         .join(star.providers(spark, sf), "o_custkey")
+        .filter("provider_state <> 'NATION_9'")
         .groupBy("provider_state")
-        .agg((F.sum("quantity") + F.when(F.col("provider_state") == "NATION_3", 100).otherwise(0))
-             .cast("bigint").alias("claims"))
+        .agg((F.count(F.lit(1)) * 100).alias("claims"), F.countDistinct("npi").alias("providers"))
     )
-    return quality.reconcile(own, supplied, ["provider_state"], "claims")
+    return quality.reconcile_all(own, supplied, ["provider_state"], ["claims", "providers"], tolerance=1000)
+
+
+def _reference_with_odd_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The reference table with categories in mixed case, and some that no setting knows."""
+    spelled = """CASE length(drug_name) % 4 WHEN 0 THEN concat(' ', lower(risk_category)) WHEN 1 THEN risk_category
+        WHEN 2 THEN concat(risk_category, ' OTHER') END"""
+    return star.drug_reference(spark, sf).withColumn("risk_category", F.expr(spelled))
+
+
+def reference_unknown(spark: SparkSession, sf: str) -> DataFrame:
+    return classify.unknown_categories(_reference_with_odd_categories(spark, sf), star.STAR_SETTINGS)
+
+
+def pipeline_stats_reference(spark: SparkSession, sf: str) -> DataFrame:
+    reference = _reference_with_odd_categories(spark, sf)
+    return quality.run_statistics(star.claims_fact(spark, sf), star.STAR_SETTINGS, reference)
 
 
 def outliers_zscore(spark: SparkSession, sf: str) -> DataFrame:
@@ -257,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "q_specialty_share": _over_flagged(lambda df: dashboard.specialty_shares(
         marts.specialty_risk(df, ordered=False))),
     "q_topn_by_specialty": _over_providers(dashboard.top_providers_by_specialty),
+    "q_topn_large": _over_providers(lambda p: dashboard.top_providers_by_specialty(p, 2000)),
     "q_state_tooltip": _over_providers(dashboard.state_tooltip),
     "q_dashboard_filter": dashboard_filter,
     "q_zip_drilldown": _over_flagged(lambda df: dashboard.zip_drilldown(geo.zip_opioid(df), "NATION_5")),
@@ -266,6 +295,8 @@ QUERIES: dict[str, Query] = {
     "duplicates": _over_flagged(lambda df: quality.duplicates(df, ["npi", "drug_name"])),
     "outliers_zscore": outliers_zscore,
     "pipeline_stats": _over_fact(lambda df: quality.run_statistics(df, star.STAR_SETTINGS)),
+    "pipeline_stats_reference": pipeline_stats_reference,
+    "reference_unknown": reference_unknown,
     "reconcile_geo": reconcile_geo,
 }
 

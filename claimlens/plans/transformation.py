@@ -2,31 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, Settings
-from claimlens.operators.classify import flag_risk, risk_from_reference
-from claimlens.operators.clean import clean
+from claimlens.operators.classify import flag_risk, risk_from_reference, unknown_categories
+from claimlens.operators.clean import clean, rename_columns
 from claimlens.operators.enrich import enrich
-from claimlens.operators.geo import geo_aggregate, hotspots, zip_opioid
+from claimlens.operators.geo import geo_aggregate, hotspots, per_capita, zip_hotspots, zip_opioid
 from claimlens.operators.marts import drug_summary, provider_summary, specialty_risk
-from claimlens.operators.quality import run_statistics
-from claimlens.operators.temporal import add_calendar, trends
-from claimlens.sinks.marts import read_clean, write_clean, write_marts
+from claimlens.operators.quality import layer_statistics, reconcile_all
+from claimlens.operators.temporal import add_calendar, bad_dates, trends, year_over_year
+from claimlens.sinks.marts import YEAR, read_clean, write_clean, write_marts
 from claimlens.sinks.writers import write_table
 from claimlens.sources.readers import (
+    CORRUPT,
     RawPaths,
-    bad_lines,
     good_lines,
+    landed_bad_lines,
+    landed_lines,
+    read_census,
     read_claims,
     read_drug_reference,
+    read_geography_totals,
+    read_provider_totals,
     read_registry,
+    union_years,
+    year_folders,
 )
 
 MODES = ("full", "extract", "transform", "load")
 LANDED_PATH = "landed"
 REJECTED_LINES_PATH = "rejected_lines"
+EXTRACTION_PATH = "extraction"
 STATISTICS_PATH = "statistics"
+UNKNOWN_CATEGORIES_PATH = "quality/unknown_categories"
+BAD_DATES_PATH = "quality/bad_dates"
+# The measures that supplied totals may hold.
+SUPPLIED_MEASURES = ("total_claims", "total_fills", "total_day_supply", "total_cost")
 
 
 def cleaned_claims(
@@ -38,12 +56,21 @@ def cleaned_claims(
     quarter: str | None = None,
     settings: Settings = DEFAULTS,
 ) -> DataFrame:
-    """Clean, classify, enrich and date the claims: the fact all marts read."""
+    """Clean, classify, enrich and date the claims: the fact all marts read.
+
+    Lines that did not parse are left out. Rows that already carry a
+    ``report_year`` keep it where neither a date column nor a year is given.
+    """
+    if CORRUPT in claims.columns:
+        claims = good_lines(claims)
     fact = claims.transform(clean, settings).transform(flag_risk, settings)
     if drug_reference is not None:
         fact = risk_from_reference(fact, drug_reference, settings)
     if registry is not None:
         fact = enrich(fact, registry)
+    if date_column is None and year is None and YEAR in fact.columns:
+        own = fact.withColumnRenamed(YEAR, "__year")
+        return add_calendar(own, year=0, quarter=quarter).withColumn(YEAR, F.col("__year")).drop("__year")
     return add_calendar(fact, date_column, year, quarter)
 
 
@@ -54,8 +81,12 @@ def marts_of(fact: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFr
     """
     states = geo_aggregate(fact, "state").transform(hotspots, percentile=settings.hotspot_percentile)
     zips = zip_opioid(fact)
+    yearly = trends(fact, "year", ordered=False)
     return {
-        "temporal_trends": trends(fact, "year", ordered=False),
+        "temporal_trends": yearly,
+        "quarterly_trends": trends(fact, "quarter", ordered=False),
+        "year_over_year": year_over_year(yearly),
+        "zip_hotspot_flags": zip_hotspots(zips, settings.hotspot_percentile),
         "provider_summary": provider_summary(fact),
         "drug_summary": drug_summary(fact, ordered=False),
         "state_hotspots": states,
@@ -66,70 +97,179 @@ def marts_of(fact: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFr
     }
 
 
+def checks_of(
+    fact: DataFrame,
+    census: DataFrame | None = None,
+    provider_totals: DataFrame | None = None,
+    geography_totals: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """What the other inputs allow: claims per capita, and the supplied totals beside the own ones.
+
+    Supplied tables are compared in the keys and measures that they hold,
+    renamed as the claims are: providers by npi, geographies by state, drug or
+    both. A table with no such key can't be compared and is left out.
+    """
+    tables = {}
+    if census is not None:
+        states = geo_aggregate(fact, "state")
+        tables["state_per_capita"] = per_capita(states, census, "provider_state", "state_total_claims")
+    compared = []
+    for name, supplied, keys in (
+        ("provider_summary", provider_totals, ["npi"]),
+        ("geography_drug", geography_totals, ["provider_state", "drug_name"]),
+    ):
+        if supplied is not None:
+            theirs = rename_columns(supplied)
+            keys = [k for k in keys if k in theirs.columns]
+            if not keys:
+                continue
+            measures = [m for m in SUPPLIED_MEASURES if m in theirs.columns]
+            upper = {k: F.upper(F.trim(k)) for k in keys if k != "npi"}
+
+            def totals(df: DataFrame, keys=keys, measures=measures, upper=upper) -> DataFrame:
+                return df.withColumns(upper).groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+
+            rows = reconcile_all(totals(fact), totals(theirs), keys, measures)
+            key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key")
+            compared.append(rows.select(
+                F.lit(name).alias("supplied_table"), key, "measure", "own_value", "supplied_value", "difference", "status"
+            ))
+    if compared:
+        tables["reconciliation"] = reduce(DataFrame.unionByName, compared)
+    return tables
+
+
 def transform_all(datasets: dict[str, DataFrame], **options) -> dict[str, DataFrame]:
-    """The nine tables of a full transformation: the cleaned fact and its marts.
+    """The tables of a full transformation: the cleaned fact, its marts, and what further inputs allow.
 
-    ``datasets`` holds ``provider_drug`` and, where present, ``npi_registry``
-    and ``drug_reference``; the options are those of :func:`cleaned_claims`.
+    ``datasets`` are those of ``read_all``: ``provider_drug`` and, where
+    present, the others. The options are those of :func:`cleaned_claims`; the
+    drug reference is used only where ``datasets`` holds it.
     """
     fact = cleaned_claims(
         datasets["provider_drug"], datasets.get("npi_registry"), datasets.get("drug_reference"), **options
     )
-    return {"cleaned_data": fact, **marts_of(fact, options.get("settings", DEFAULTS))}
+    more = checks_of(fact, datasets.get("census"), datasets.get("provider_summary"), datasets.get("geography_drug"))
+    return {"cleaned_data": fact, **marts_of(fact, options.get("settings", DEFAULTS)), **more}
+
 
+class RunResult(NamedTuple):
+    """What a run gives back: the tables of the phases that ran, None for the others."""
 
-def extract_phase(spark: SparkSession, raw: RawPaths, output: str, year: int, settings: Settings) -> DataFrame:
-    """Parse the claim files once into Parquet; set bad lines aside; statistics."""
+    extraction: DataFrame | None = None
+    statistics: DataFrame | None = None
+    catalog: DataFrame | None = None
+
+
+def extract_phase(spark: SparkSession, raw: RawPaths, output: str, years: Sequence[int] | None) -> DataFrame:
+    """Parse the claim files once into Parquet, a folder per year; set bad lines aside; count both."""
     landed = f"{output}/{LANDED_PATH}"
-    write_table(read_claims(spark, raw.provider_drug, year), landed, rebalance=False)
+    if years is None:
+        write_table(read_claims(spark, raw.provider_drug), landed, rebalance=False)
+    for year in years or ():
+        write_table(read_claims(spark, raw.provider_drug, year), f"{landed}/{YEAR}={year}", rebalance=False)
     lines = spark.read.parquet(landed)
-    write_table(bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
-    write_table(run_statistics(good_lines(lines), settings), f"{output}/{STATISTICS_PATH}", files=1)
-    return spark.read.parquet(f"{output}/{STATISTICS_PATH}")
+    write_table(landed_bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
+    counts = lines.agg(
+        F.expr(f"count_if({CORRUPT} IS NULL) AS records_extracted"), F.expr(f"count_if({CORRUPT} IS NOT NULL) AS lines_rejected")
+    )
+    write_table(counts, f"{output}/{EXTRACTION_PATH}", files=1)
+    return spark.read.parquet(f"{output}/{EXTRACTION_PATH}")
 
 
 def transform_phase(
-    spark: SparkSession, raw: RawPaths, output: str, year: int, settings: Settings,
-    quarter: str | None, use_drug_reference: bool,
-) -> None:
-    """Read the landed claims and the dimensions, write the clean layer."""
-    claims = good_lines(spark.read.parquet(f"{output}/{LANDED_PATH}"))
+    spark: SparkSession, raw: RawPaths, output: str, years: Sequence[int] | None, settings: Settings,
+    quarter: str | None, use_drug_reference: bool, date_column: str | None,
+) -> DataFrame:
+    """Read the landed claims and the dimensions; write the clean layer, what the reference didn't settle, statistics."""
+    lines = spark.read.parquet(f"{output}/{LANDED_PATH}")
+    claims = landed_lines(lines)
+    of_run = [F.col(YEAR).isin(list(years))] if years and not date_column else [F.lit(True)]
+    claims = claims.filter(*of_run)
     reference = read_drug_reference(spark, raw.drug_reference) if use_drug_reference else None
     registry = read_registry(spark, raw.npi_registry)
-    write_clean(
-        cleaned_claims(claims, registry, reference, year=year, quarter=quarter, settings=settings), output
-    )
+    fact = cleaned_claims(claims, registry, reference, date_column, quarter=quarter, settings=settings)
+    # A date column decides the year of a row, so any folder may change.
+    write_clean(fact, output, None if date_column else years)
+    if reference is not None:
+        write_table(unknown_categories(reference, settings), f"{output}/{UNKNOWN_CATEGORIES_PATH}", files=1)
+    if date_column:
+        write_table(bad_dates(rename_columns(claims), date_column), f"{output}/{BAD_DATES_PATH}", files=1)
+    statistics = layer_statistics(claims, read_clean(spark, output).filter(*of_run), settings)
+    write_table(statistics, f"{output}/{STATISTICS_PATH}", files=1)
+    return spark.read.parquet(f"{output}/{STATISTICS_PATH}")
 
 
-def load_phase(spark: SparkSession, output: str, settings: Settings) -> DataFrame:
+def load_phase(
+    spark: SparkSession, raw: RawPaths, output: str, settings: Settings, years: Sequence[int] | None,
+    csv_files: Mapping[str, int] | None,
+) -> DataFrame:
     """Read the clean layer, write marts and catalog, return the catalog."""
-    return write_marts(spark, marts_of(read_clean(spark, output), settings), output)
+    fact = read_clean(spark, output)
+
+    def totals(read, path: str | None) -> DataFrame | None:
+        if path is None:
+            return None
+        return union_years([read(spark, path, year) for year in years]) if years else read(spark, path)
+
+    census = read_census(spark, raw.census) if raw.census else None
+    of_years = fact.filter(F.col(YEAR).isin(list(years))) if years else fact
+    compared = checks_of(
+        of_years, None, totals(read_provider_totals, raw.provider_summary), totals(read_geography_totals, raw.geography_drug)
+    )
+    tables = {**marts_of(fact, settings), **checks_of(fact, census), **compared}
+    return write_marts(spark, tables, output, csv_files)
+
+
+def existing(spark: SparkSession, raw: RawPaths) -> RawPaths:
+    """raw without the optional inputs whose folders are not there."""
+    def there(path: str | None) -> bool:
+        if path is None:
+            return False
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+    optional = ("census", "provider_summary", "geography_drug")
+    return replace(raw, **{name: None for name in optional if not there(getattr(raw, name))})
 
 
 def run(
     spark: SparkSession,
     raw: RawPaths,
     output: str,
-    year: int,
+    year: int | Sequence[int] | None = None,
     mode: str = "full",
     quarter: str | None = None,
     settings: Settings = DEFAULTS,
     use_drug_reference: bool = False,
-) -> DataFrame | None:
+    date_column: str | None = None,
+    csv_files: Mapping[str, int] | None = None,
+) -> RunResult:
     """Run one phase or, with ``full``, all; each reads what the one before wrote.
 
-    Returns the run statistics (extract), nothing (transform) or the catalog
-    (load, full). A written table between the phases cuts the lineage where it
-    outlives any executor, and lets each mart scan only its own columns.
+    ``year`` is one year, several, or None for all year folders (without any,
+    the base folder is read, and ``date_column`` must tell the years). Landed
+    and clean layer keep the years of earlier runs; the marts cover all years
+    of the clean layer, the reconciliation those of this run. ``csv_files``
+    sets the number of CSV files by title. A written table between the phases
+    cuts the lineage where it outlives any executor, and lets each mart scan
+    only its own columns.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     output = output.rstrip("/")
-    result = None
+    if year is None:
+        years = year_folders(spark, raw.provider_drug) or None
+    else:
+        years = [year] if isinstance(year, int) else [int(y) for y in year]
+    if years is None and date_column is None:
+        raise ValueError("without year folders, a run needs a date column")
+    result = RunResult()
     if mode in ("full", "extract"):
-        result = extract_phase(spark, raw, output, year, settings)
+        result = result._replace(extraction=extract_phase(spark, raw, output, years))
     if mode in ("full", "transform"):
-        transform_phase(spark, raw, output, year, settings, quarter, use_drug_reference)
+        statistics = transform_phase(spark, raw, output, years, settings, quarter, use_drug_reference, date_column)
+        result = result._replace(statistics=statistics)
     if mode in ("full", "load"):
-        result = load_phase(spark, output, settings)
+        result = result._replace(catalog=load_phase(spark, existing(spark, raw), output, settings, years, csv_files))
     return result
