@@ -73,12 +73,15 @@ def with_percent_rank(df: DataFrame, by: Sequence[str], amount: str, name: str,
     return ranked.withColumn(name, share).drop("__ahead", "__size")
 
 
-def first_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int, name: str = "row_rank") -> DataFrame:
-    """The first ``n`` rows of each group; end ``order`` with a unique column.
+def first_n(
+    df: DataFrame, by: Sequence[str], amount: str, ties: Sequence[str], n: int, name: str = "row_rank"
+) -> DataFrame:
+    """The ``n`` rows of each group with the greatest whole-number amount; ``ties`` decide among equals.
 
-    The filter on ``row_number`` lets Spark cut every group to ``n`` rows
-    before the shuffle, for n up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
+    One plan for every n: rows that have n better ones go first, and only rows
+    of the same group and amount are sorted against each other.
     """
-    numbered = df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return numbered.filter(F.col(name) <= n)
+    ranked = join_on_groups(df, _standings(df, by, amount, True), [*by, amount], "inner").filter(F.col("__ahead") < n)
+    among_equals = F.row_number().over(Window.partitionBy(*by, amount).orderBy(*ties))
+    numbered = ranked.withColumn(name, (F.col("__ahead") + among_equals).cast("int"))
+    return numbered.filter(F.col(name) <= n).drop("__ahead", "__size")

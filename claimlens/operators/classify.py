@@ -29,18 +29,38 @@ def flag_risk(df: DataFrame, settings: Settings = DEFAULTS, whole_word: bool = F
     })
 
 
+CATEGORY = "upper(trim(risk_category))"
+
+
+def _known_categories(settings: Settings) -> str:
+    return "array(" + ", ".join(text_sql(c) for c in (*[name for name, _, _ in settings.risk_lists], STANDARD)) + ")"
+
+
+def unknown_categories(reference: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The reference table's categories that no setting knows, each with its rows and drugs; a missing one is NULL."""
+    known = f"array_contains({_known_categories(settings)}, {CATEGORY})"
+    return (
+        reference.filter(f"NOT coalesce({known}, false)")
+        .groupBy(F.expr(f"{CATEGORY} AS risk_category"))
+        .agg(F.expr("count(1) AS row_count"), F.expr("count(DISTINCT upper(trim(drug_name))) AS drug_count"))
+    )
+
+
 def risk_from_reference(df: DataFrame, reference: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Let a reference table (drug_name, risk_category) decide for the drugs it lists.
 
-    Other drugs keep what the word lists said. Where the table lists a drug
-    twice, the category that comes first in the settings wins. The join is
+    Other drugs keep what the word lists said; categories are compared without
+    case and outer blanks, and :func:`unknown_categories` tells which rows have
+    one that the settings don't know. Where the table lists a drug twice, the
+    category that comes first in the settings wins. The join is
     not hinted: AQE broadcasts the table once its real size is known to be
     small, and splits a hot drug when it is not.
     """
     lists = settings.risk_lists
-    order = "array(" + ", ".join(text_sql(c) for c in (*[name for name, _, _ in lists], STANDARD)) + ")"
+    order = _known_categories(settings)
     listed = (
-        reference.filter(f"array_contains({order}, risk_category)")
+        reference.withColumn("risk_category", F.expr(CATEGORY))
+        .filter(f"array_contains({order}, risk_category)")
         .groupBy(F.expr("upper(trim(drug_name)) AS drug_name"))
         .agg(F.expr(f"element_at({order}, cast(min(array_position({order}, risk_category)) AS int)) AS __listed"))
     )

@@ -68,9 +68,13 @@ def clean_counts(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
-    """Upper-case and trim names and state; only trim the specialty."""
-    upper = {c: F.expr(f"upper(trim({c}))") for c in ("drug_name", "generic_name", "provider_state")}
-    return df.withColumns({**upper, "specialty": F.expr("trim(specialty)")})
+    """Upper-case and trim names and state; only trim the specialty.
+
+    A blank state is NULL, as it is when read back from a folder per state.
+    """
+    upper = {c: F.expr(f"upper(trim({c}))") for c in ("drug_name", "generic_name")}
+    state = F.expr("nullif(upper(trim(provider_state)), '')")
+    return df.withColumns({**upper, "provider_state": state, "specialty": F.expr("trim(specialty)")})
 
 
 def derived_metrics(df: DataFrame) -> DataFrame:

@@ -122,7 +122,8 @@ def opioid_trend_line(providers: DataFrame) -> DataFrame:
 def drug_quadrants(drugs: DataFrame) -> DataFrame:
     """High or low volume and unit cost per drug, split at the means of all drugs.
 
-    The means are one row, read as a scalar subquery.
+    The means are one row, read as a scalar subquery, which computes ``drugs``
+    a second time: pass a written mart rather than a lazy one.
     """
     means = drugs.agg(
         F.struct(F.avg("drug_total_claims").alias("claims"), F.avg("avg_cost_per_claim").alias("cost"))
@@ -142,8 +143,8 @@ def specialty_shares(specialties: DataFrame) -> DataFrame:
 
 def top_providers_by_specialty(providers: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` providers with most claims in each specialty."""
-    order = (F.desc("provider_total_claims"), "npi", "provider_name", "provider_city", "provider_state", "provider_zip")
-    return first_n(providers, ["specialty"], order, n, "specialty_rank")
+    ties = ("npi", "provider_name", "provider_city", "provider_state", "provider_zip")
+    return first_n(providers, ["specialty"], "provider_total_claims", ties, n, "specialty_rank")
 
 
 def state_tooltip(providers: DataFrame) -> DataFrame:

@@ -20,9 +20,10 @@ def keep_latest(df: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame
     """One row per key: the greatest in ``order``, ties broken by the other columns.
 
     An aggregate rather than a window, for two reasons: it is combined before
-    the shuffle, so a key with very many copies costs nothing extra; and Spark
-    knows its output to be unique on the key, so it drops a later left join
-    whose added columns nobody reads.
+    the shuffle, so a key with very many copies sends one row per task; and
+    Spark knows its output to be unique on the key, so it drops a later left
+    join whose added columns nobody reads. The price is a sort before and after
+    the shuffle, both of which can spill.
     """
     rest = [c for c in df.columns if c != key and c not in order]
     best = df.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("__best"))

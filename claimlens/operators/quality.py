@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from claimlens.config import DEFAULTS, STANDARD, Settings
 from claimlens.functions.columns import percent, text_sql
-from claimlens.operators.classify import flag_risk
+from claimlens.operators.classify import flag_risk, risk_from_reference
 from claimlens.operators.clean import KEPT, normalize_text, reject_reason, rename_columns
 
 
@@ -73,7 +73,8 @@ def duplicates(df: DataFrame, keys: Sequence[str], ordered: bool = True) -> Data
 def outliers(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
     """Add the absolute z-score (sample deviation) and a 0/1 outlier flag.
 
-    Mean and deviation are one row, read as a scalar subquery. A NULL value,
+    Mean and deviation are one row, read as a scalar subquery, which computes
+    ``df`` a second time: pass a written table if it is costly. A NULL value,
     or a deviation of zero, gives a NULL score and flag 0.
     """
     moments = df.agg(F.struct(F.avg(column).alias("mean"), F.stddev(column).alias("deviation"))).scalar()
@@ -83,11 +84,14 @@ def outliers(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
     )
 
 
-def run_statistics(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def run_statistics(
+    raw: DataFrame, settings: Settings = DEFAULTS, drug_reference: DataFrame | None = None
+) -> DataFrame:
     """One row: records extracted, cleaned, high-risk, opioid, and state hotspots.
 
     The raw rows are read once and reduced to a count and a claim total per
     (state, category, kept or not); everything else follows from that table.
+    A drug reference decides as it does in the clean layer.
     """
     classified = (
         raw.transform(rename_columns)
@@ -95,9 +99,30 @@ def run_statistics(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
         .transform(normalize_text)
         .transform(flag_risk, settings)
     )
-    cells = classified.groupBy("provider_state", "risk_category", "__kept").agg(
+    if drug_reference is not None:
+        classified = risk_from_reference(classified, drug_reference, settings)
+    return _statistics_of(_cells(classified), settings)
+
+
+def layer_statistics(landed: DataFrame, clean: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The same row from what a run has written: the good landed lines and the clean layer."""
+    kept = _cells(clean.withColumn("__kept", F.lit(True)))
+    # The rows that cleaning dropped, as one cell that is not kept.
+    dropped = landed.agg(F.count(F.lit(1))).scalar() - clean.agg(F.count(F.lit(1))).scalar()
+    rest = landed.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("provider_state"), F.lit(STANDARD).alias("risk_category"),
+        F.lit(False).alias("__kept"), dropped.alias("__rows"), F.lit(None).cast("bigint").alias("__claims"),
+    )
+    return _statistics_of(kept.unionByName(rest), settings)
+
+
+def _cells(classified: DataFrame) -> DataFrame:
+    return classified.groupBy("provider_state", "risk_category", "__kept").agg(
         F.expr("count(1) AS __rows"), F.expr("sum(total_claims) AS __claims")
     )
+
+
+def _statistics_of(cells: DataFrame, settings: Settings) -> DataFrame:
     groups = Window.partitionBy("__kept", "risk_category").orderBy(F.asc_nulls_last("__claims"))
 
     def rows(condition: str, name: str):
@@ -120,6 +145,17 @@ def run_statistics(raw: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     )
 
 
+def reconcile_all(
+    own: DataFrame, supplied: DataFrame, keys: Sequence[str], measures: Sequence[str], tolerance: float = 0
+) -> DataFrame:
+    """Several measures compared, one row per key and ``measure``; the values are doubles."""
+    def long(df: DataFrame) -> DataFrame:
+        values = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in measures])
+        return values.unpivot(list(keys), list(measures), "measure", "value")
+
+    return reconcile(long(own), long(supplied), [*keys, "measure"], "value", tolerance)
+
+
 def reconcile(
     own: DataFrame, supplied: DataFrame, keys: Sequence[str], measure: str, tolerance: float = 0
 ) -> DataFrame:

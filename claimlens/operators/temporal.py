@@ -23,10 +23,11 @@ def add_calendar(
     """Add report_date, report_year, report_quarter ('Q1'..'Q4') and report_month.
 
     They come from ``date_column``; without one, from the ``year`` (and
-    ``quarter``) the files were published for, the rest being NULL.
+    ``quarter``) the files were published for, the rest being NULL. A text
+    that is no date gives a NULL calendar; :func:`bad_dates` counts these.
     """
     if date_column:
-        return df.withColumn("report_date", F.col(date_column).cast("date")).withColumns({
+        return df.withColumn("report_date", F.expr(f"try_cast(`{date_column}` AS date)")).withColumns({
             "report_year": F.expr("year(report_date)"),
             "report_quarter": F.expr("concat('Q', quarter(report_date))"),
             "report_month": F.expr("month(report_date)"),
@@ -41,6 +42,12 @@ def add_calendar(
     })
 
 
+def bad_dates(df: DataFrame, date_column: str) -> DataFrame:
+    """The texts of a date column that are no dates, each with its rows."""
+    broken = f"`{date_column}` IS NOT NULL AND try_cast(`{date_column}` AS date) IS NULL"
+    return df.filter(broken).groupBy(F.col(date_column).alias("date_text")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def trend_grouping(level: str = "year") -> Grouping:
     prefix = TIME_PREFIXES[level]
     return Grouping(

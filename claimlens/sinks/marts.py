@@ -2,89 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.operators.marts import main_dashboard
-from claimlens.sinks.writers import file_count, write_table
+from claimlens.sinks.writers import write_table
 
 
 @dataclass(frozen=True)
 class MartFile:
-    """One written mart. ``csv_files`` is the least number of files of its CSV copy."""
+    """One written mart: its keys, measures, layout, and the number of files of its CSV copy."""
 
     source: str
     path: str
     title: str
-    description: str
-    use_case: str
+    keys: tuple[str, ...]
+    measures: str
     partition_by: tuple[str, ...] = ()
     csv_path: str | None = None
     csv_files: int = 1
-    keep_other_partitions: bool = False
+    optional: bool = False
 
 
 # Folders, file counts and titles that readers of the output know.
 CLEAN_PATH = "clean"
 CLEAN_PARTITIONS = ("provider_state", "risk_category")
+YEAR = "report_year"
 CATALOG_PATH = "catalog"
 DASHBOARD_PATH = "tableau_ready/main_dashboard"
+DASHBOARD_TITLE = "Main Dashboard"
 DASHBOARD_FILES = 5
 
 MARTS = (
     MartFile(
-        source="provider_summary",
-        path="tableau_ready/provider_summary",
-        title="Provider Summary",
-        description="Claims, cost and opioid measures per provider",
-        use_case="Provider drill-down",
-        partition_by=("provider_state",),
-        csv_path="tableau_ready/provider_summary_csv",
-        csv_files=10,
+        "provider_summary", "tableau_ready/provider_summary", "Provider Summary",
+        ("npi", "provider_state", "specialty"), "claims, cost, distinct drugs, opioid and high-risk claims, opioid share",
+        ("provider_state",), "tableau_ready/provider_summary_csv", 10,
     ),
     MartFile(
-        source="drug_summary",
-        path="tableau_ready/drug_summary",
-        title="Drug Summary",
-        description="Claims, cost and prescribers per drug and risk category",
-        use_case="Drug utilization",
-        partition_by=("risk_category",),
+        "drug_summary", "tableau_ready/drug_summary", "Drug Summary",
+        ("drug_name", "generic_name", "risk_category"), "claims, cost, distinct prescribers, mean unit cost",
+        ("risk_category",),
     ),
     MartFile(
-        source="state_hotspots",
-        path="hotspots/state_level",
-        title="State Hotspots",
-        description="Claims per state and risk category with percent rank and hotspot flag",
-        use_case="State heat map",
-        csv_path="hotspots/state_level_csv",
-        csv_files=1,
+        "state_hotspots", "hotspots/state_level", "State Hotspots",
+        ("provider_state", "risk_category"), "claims, cost, claims per beneficiary, percent rank, hotspot flag",
+        (), "hotspots/state_level_csv", 1,
     ),
     MartFile(
-        source="zip_hotspots",
-        path="hotspots/zip_opioid",
-        title="ZIP Opioid Hotspots",
-        description="Opioid claims per ZIP",
-        use_case="ZIP detail map",
-        partition_by=("provider_state",),
+        "zip_hotspots", "hotspots/zip_opioid", "ZIP Opioid Hotspots",
+        ("provider_zip", "provider_state"), "opioid claims, providers and beneficiaries",
+        ("provider_state",),
     ),
     MartFile(
-        source="temporal_trends",
-        path="temporal/yearly_trends",
-        title="Temporal Trends",
-        description="Claims, cost and providers per year, state and risk category",
-        use_case="Time series",
-        partition_by=("report_year",),
-        keep_other_partitions=True,
+        "temporal_trends", "temporal/yearly_trends", "Temporal Trends",
+        ("report_year", "provider_state", "risk_category"), "yearly claims, cost and providers",
+        ("report_year",),
     ),
     MartFile(
-        source="specialty_risk",
-        path="tableau_ready/specialty_risk",
-        title="Specialty Risk",
-        description="Claims and providers per specialty and risk category",
-        use_case="Specialty profile",
+        "specialty_risk", "tableau_ready/specialty_risk", "Specialty Risk",
+        ("specialty", "risk_category"), "claims and providers",
+    ),
+    MartFile(
+        "quarterly_trends", "temporal/quarterly_trends", "Quarterly Trends",
+        ("report_year", "report_quarter", "provider_state", "risk_category"), "quarterly claims, cost and providers",
+        ("report_year",),
+    ),
+    MartFile(
+        "year_over_year", "temporal/year_over_year", "Year over Year",
+        ("provider_state", "risk_category", "report_year"), "yearly claims, those of the year before, change",
+    ),
+    MartFile(
+        "zip_hotspot_flags", "hotspots/zip_flags", "ZIP Hotspot Flags",
+        ("provider_zip", "provider_state"), "opioid claims, percent rank over all ZIPs, hotspot flag",
+        ("provider_state",),
+    ),
+    MartFile(
+        "state_per_capita", "hotspots/state_per_capita", "State Claims per Capita",
+        ("provider_state", "risk_category"), "claims, population, claims per 100,000 inhabitants",
+        optional=True,
+    ),
+    MartFile(
+        "reconciliation", "quality/reconciliation", "Reconciliation with Supplied Totals",
+        ("supplied_table", "key", "measure"), "own and supplied value, difference, status",
+        optional=True,
     ),
 )
 
@@ -94,54 +99,66 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("format", T.StringType()),
     T.StructField("columns", T.ArrayType(T.StringType())),
     T.StructField("row_count", T.LongType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("use_case", T.StringType()),
+    T.StructField("keys", T.ArrayType(T.StringType())),
+    T.StructField("measures", T.StringType()),
 ])
 
 
-def write_clean(claims: DataFrame, base: str) -> int:
-    """The clean layer, in folders per state and risk category."""
-    return write_table(claims, f"{base.rstrip('/')}/{CLEAN_PATH}", CLEAN_PARTITIONS)
+def write_clean(claims: DataFrame, base: str, years: Sequence[int] | None = None) -> int:
+    """The clean layer, in folders per report year, state and risk category.
+
+    With ``years`` only the folders of these years are replaced, each as a
+    whole, and the rows of other years are not written; without, all are.
+    """
+    path = f"{base.rstrip('/')}/{CLEAN_PATH}"
+    if years is None:
+        return write_table(claims, path, (YEAR, *CLEAN_PARTITIONS))
+    return sum(
+        write_table(claims.filter(F.col(YEAR) == year).drop(YEAR), f"{path}/{YEAR}={year}", CLEAN_PARTITIONS)
+        for year in years
+    )
 
 
 def read_clean(spark: SparkSession, base: str) -> DataFrame:
-    """The written clean layer; folder columns stay strings, whatever they look like."""
+    """The written clean layer; folder columns keep their types, whatever the folders are called."""
     path = f"{base.rstrip('/')}/{CLEAN_PATH}"
+    kinds = {YEAR: T.IntegerType()} | dict.fromkeys(CLEAN_PARTITIONS, T.StringType())
     schema = T.StructType([
-        T.StructField(f.name, T.StringType()) if f.name in CLEAN_PARTITIONS else f
-        for f in spark.read.parquet(path).schema
+        T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in spark.read.parquet(path).schema
     ])
     return spark.read.schema(schema).parquet(path)
 
 
-def write_marts(spark: SparkSession, tables: Mapping[str, DataFrame], base: str) -> DataFrame:
+def write_marts(
+    spark: SparkSession, tables: Mapping[str, DataFrame], base: str, csv_files: Mapping[str, int] | None = None
+) -> DataFrame:
     """Write every mart, its CSV copy and the dashboard extract; return the catalog.
 
     The CSV copies read the Parquet mart just written, so no aggregate runs
-    twice, and their file count grows with its row count.
+    twice. ``csv_files`` sets the number of files of a copy by the mart's
+    title; the same number holds for any number of rows. Optional marts are
+    left out where ``tables`` lacks them.
     """
     base = base.rstrip("/")
+    files = {m.title: m.csv_files for m in MARTS} | {DASHBOARD_TITLE: DASHBOARD_FILES} | dict(csv_files or {})
     entries = []
     for mart in MARTS:
+        if mart.optional and mart.source not in tables:
+            continue
         table = tables[mart.source]
         path = f"{base}/{mart.path}"
-        rows = write_table(
-            table, path, mart.partition_by, replace_partitions_only=mart.keep_other_partitions
-        )
+        rows = write_table(table, path, mart.partition_by)
         formats = "parquet"
         written = spark.read.schema(table.schema).parquet(path).select(table.columns)
         if mart.csv_path:
-            write_table(written, f"{base}/{mart.csv_path}", fmt="csv", files=file_count(rows, mart.csv_files))
+            write_table(written, f"{base}/{mart.csv_path}", fmt="csv", files=files[mart.title])
             formats = "parquet/csv"
-        entries.append((mart.title, path, formats, table.columns, rows, mart.description, mart.use_case))
+        entries.append((mart.title, path, formats, table.columns, rows, list(mart.keys), mart.measures))
         if mart.source == "provider_summary":
             extract = main_dashboard(written)
             target = f"{base}/{DASHBOARD_PATH}"
-            count = write_table(extract, target, fmt="csv", files=file_count(rows, DASHBOARD_FILES))
-            entries.append((
-                "Main Dashboard", target, "csv", extract.columns, count,
-                "Provider measures in one table", "Main dashboard",
-            ))
+            count = write_table(extract, target, fmt="csv", files=files[DASHBOARD_TITLE])
+            entries.append((DASHBOARD_TITLE, target, "csv", extract.columns, count, list(mart.keys), mart.measures))
     catalog = spark.createDataFrame(entries, CATALOG_SCHEMA)
     write_table(catalog, f"{base}/{CATALOG_PATH}", files=1)
     return catalog

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 FORMAT_OPTIONS = {"parquet": {"compression": "snappy"}, "csv": {"header": "true"}}
 MODES = ("overwrite", "append", "error")
-ROWS_PER_FILE = 5_000_000
 
 
 def write_table(
@@ -53,11 +51,6 @@ def write_table(
     return counted.get["rows"]
 
 
-def file_count(rows: int, wanted: int, rows_per_file: int = ROWS_PER_FILE) -> int:
-    """``wanted`` files, or more where those would hold over ``rows_per_file`` rows each."""
-    return max(wanted, ceil(rows / rows_per_file))
-
-
 def export_sample(df: DataFrame, path: str, rows: int = 10_000) -> int:
     """Write at most ``rows`` rows as one CSV file, for a look at the data."""
     return write_table(df.limit(rows), path, fmt="csv", files=1)

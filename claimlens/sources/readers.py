@@ -1,8 +1,10 @@
 """Readers for the raw files.
 
-Columns are found by their header name, whatever their order, and get a
-declared type; nothing is inferred from the data. Opening a folder reads one
-header line; everything else is lazy.
+Columns are found by their header name, in any case and order, and get a
+declared type; nothing is inferred from the data. All files of one folder must
+have the same header (a file with another one fails the read, it is never
+matched by position); folders of different years may differ. Opening a folder
+reads one header line; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,11 +87,41 @@ def bad_lines(df: DataFrame) -> DataFrame:
     return _lines_where(df, "IS NOT NULL").select(CORRUPT)
 
 
+def landed_lines(df: DataFrame) -> DataFrame:
+    """The good lines of a table that was parsed and written before: a plain condition, which reads no other column."""
+    return df.filter(f"{CORRUPT} IS NULL").drop(CORRUPT)
+
+
+def landed_bad_lines(df: DataFrame) -> DataFrame:
+    """The text of the bad lines of such a table."""
+    return df.filter(f"{CORRUPT} IS NOT NULL").select(CORRUPT)
+
+
+def five_digits(zip_code: str) -> Column:
+    """A ZIP's five digits: lost leading zeros restored, the four digits of a ZIP+4 left off, anything else as it is."""
+    code = F.trim(zip_code)
+    return (
+        F.when(code.rlike("^[0-9]{1,5}$"), F.lpad(code, 5, "0"))
+        .when(code.rlike("^[0-9]{5}-[0-9]{4}$"), F.left(code, F.lit(5)))
+        .when(code.rlike("^[0-9]{7,9}$"), F.left(F.lpad(code, 9, "0"), F.lit(5)))
+        .otherwise(code)
+    )
+
+
 def read_claims(spark: SparkSession, path: str, year: int | str | None = None) -> DataFrame:
     """Provider-by-drug claims with ``_corrupt_record``; ZIPs get their five digits."""
     raw = read_csv(spark, year_path(path, year), schemas.CLAIM_NUMBERS, keep_corrupt=True)
-    zips = [c for c in raw.columns if schemas.PROVIDER_DRUG_NAMES.get(c) == "provider_zip"]
-    return raw.withColumns({c: F.lpad(F.trim(c), 5, "0") for c in zips})
+    zips = [c for c in raw.columns if schemas.PROVIDER_DRUG_NAMES.get(c.lower()) == "provider_zip"]
+    return raw.withColumns({c: five_digits(c) for c in zips})
+
+
+def year_folders(spark: SparkSession, path: str) -> list[int]:
+    """The years that have a folder below ``path``."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    found = base.getFileSystem(conf).listStatus(base)
+    names = [status.getPath().getName() for status in found if status.isDirectory()]
+    return sorted(int(n) for n in names if n.isdigit() and len(n) == 4)
 
 
 def read_claim_years(spark: SparkSession, path: str, years: Sequence[int]) -> DataFrame:

@@ -38,20 +38,23 @@ def small_dir():
 
 @pytest.fixture
 def claims(spark):
-    """Four valid claims: two opioids, two standard drugs, four states."""
+    """Five valid claims of four providers in three states: one opioid, one benzodiazepine, three others."""
     return make_claims(spark, [
-        {"npi": "0000012345", "provider_state": "NY", "provider_zip": "10001", "drug_name": "OXYCODONE HCL",
-         "generic_name": "OXYCODONE", "total_claims": 100, "total_fills": 50.0, "total_day_supply": 1000,
-         "total_cost": 5000, "beneficiary_count": 25},
-        {"npi": "0000023456", "provider_state": "CA", "provider_zip": "90001", "drug_name": "HYDROCODONE-APAP",
-         "generic_name": "HYDROCODONE", "total_claims": 200, "total_fills": 100.0, "total_day_supply": 2000,
-         "total_cost": 10000, "beneficiary_count": 50},
-        {"npi": "0000034567", "provider_state": "IL", "provider_zip": "60601", "drug_name": "LISINOPRIL",
-         "generic_name": "LISINOPRIL", "total_claims": 150, "total_fills": 75.0, "total_day_supply": 1500,
-         "total_cost": 3000, "beneficiary_count": 40},
-        {"npi": "0000045678", "provider_state": "TX", "provider_zip": "77001", "drug_name": "ATORVASTATIN",
-         "generic_name": "ATORVASTATIN", "total_claims": 300, "total_fills": 150.0, "total_day_supply": 3000,
-         "total_cost": 8000, "beneficiary_count": 80},
+        {"npi": "7100000001", "provider_state": "OR", "provider_zip": "97035", "drug_name": "TAPENTADOL ER",
+         "generic_name": "TAPENTADOL", "total_claims": 64, "total_fills": 32.0, "total_day_supply": 800,
+         "total_cost": 1600, "beneficiary_count": 9},
+        {"npi": "7100000001", "provider_state": "OR", "provider_zip": "97035", "drug_name": "METFORMIN",
+         "generic_name": "METFORMIN", "total_claims": 410, "total_fills": 500.5, "total_day_supply": 15015,
+         "total_cost": "2050.40", "beneficiary_count": 120},
+        {"npi": "7100000002", "provider_state": "OR", "provider_zip": "97401", "drug_name": "CLONAZEPAM ODT",
+         "generic_name": "CLONAZEPAM", "total_claims": 37, "total_fills": 40.0, "total_day_supply": 1200,
+         "total_cost": "612.35", "beneficiary_count": 11},
+        {"npi": "7100000003", "provider_state": "VT", "provider_zip": "05401", "drug_name": "SERTRALINE",
+         "generic_name": "SERTRALINE", "total_claims": 88, "total_fills": 91.0, "total_day_supply": 2730,
+         "total_cost": 704, "beneficiary_count": 30},
+        {"npi": "7100000004", "provider_state": "KS", "provider_zip": "66044", "drug_name": "AMOXICILLIN",
+         "generic_name": "AMOXICILLIN", "total_claims": 23, "total_fills": 23.0, "total_day_supply": 230,
+         "total_cost": "57.50", "beneficiary_count": 22},
     ])
 
 

@@ -4,7 +4,7 @@ import pytest
 from conftest import make_claims
 
 from claimlens.config import DEFAULTS
-from claimlens.operators.classify import flag_risk, risk_counts, risk_from_reference
+from claimlens.operators.classify import flag_risk, risk_counts, risk_from_reference, unknown_categories
 
 
 def flags(spark, whole_word=False, settings=DEFAULTS, **row):
@@ -42,12 +42,12 @@ def test_words_are_plain_text_not_patterns(spark):
     assert flags(spark, settings=replace(DEFAULTS, opioid_words=()), drug_name="NORCO")[0] == 0
 
 
-def test_two_opioids_of_four(claims):
+def test_shares_of_risky_claims(claims):
     flagged = flag_risk(claims)
-    assert flagged.filter("is_opioid = 1").count() == 2
+    assert [r.npi for r in flagged.filter("is_opioid = 1").collect()] == ["7100000001"]
     counts = risk_counts(flagged).first()
-    assert (counts.total_records, counts.high_risk_count, counts.opioid_count) == (4, 2, 2)
-    assert (counts.high_risk_pct, counts.opioid_pct) == (50.0, 50.0)
+    assert (counts.total_records, counts.high_risk_count, counts.opioid_count) == (5, 2, 1)
+    assert (counts.high_risk_pct, counts.opioid_pct) == (40.0, 20.0)
     assert risk_counts(flagged.limit(0)).first().opioid_pct is None
 
 
@@ -65,3 +65,13 @@ def test_reference_table_overrides_the_words(spark):
     assert got == {
         "1": (0, 0, "STANDARD"), "2": (0, 0, "STANDARD"), "3": (1, 1, "OPIOID"), "4": (0, 1, "BENZODIAZEPINE"),
     }
+
+
+def test_categories_in_any_spelling(spark):
+    claims = flag_risk(make_claims(spark, [{"npi": str(k), "drug_name": f"PLAIN {k}"} for k in range(5)]))
+    listed = [("plain 0", " opioid"), ("PLAIN 1", "Stimulant "), ("PLAIN 2", "Narcotic"), ("PLAIN 3", None), ("plain 2 ", "NARCOTIC")]
+    reference = spark.createDataFrame(listed, "drug_name string, risk_category string")
+    got = {r.npi: r.risk_category for r in risk_from_reference(claims, reference).collect()}
+    assert got == {"0": "OPIOID", "1": "STIMULANT", "2": "STANDARD", "3": "STANDARD", "4": "STANDARD"}
+    odd = {r.risk_category: (r.row_count, r.drug_count) for r in unknown_categories(reference).collect()}
+    assert odd == {"NARCOTIC": (2, 1), None: (1, 1)}

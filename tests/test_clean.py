@@ -19,7 +19,7 @@ def test_rename_ignores_absent_columns(spark):
 def test_claims_below_eleven_are_dropped(spark, claims):
     low = make_claims(spark, [{"npi": "99999", "total_claims": 5}])
     kept = clean.keep_valid(claims.union(low), only=["LOW_CLAIMS"])
-    assert kept.count() == 4
+    assert kept.count() == 5
     assert "99999" not in values(kept, "npi")
 
 
@@ -65,10 +65,10 @@ def test_text_is_normalised(spark):
 
 
 def test_ratios(claims):
-    first = clean.derived_metrics(claims).filter("npi = '0000012345'").first()
-    assert first.cost_per_claim == 50.0
-    assert first.cost_per_day == 5.0
-    assert first.avg_day_supply == 20.0
+    first = clean.derived_metrics(claims).filter("drug_name = 'TAPENTADOL ER'").first()
+    assert first.cost_per_claim == 25.0
+    assert first.cost_per_day == 2.0
+    assert first.avg_day_supply == 25.0
 
 
 def test_zero_divisors_give_null(spark):
@@ -82,6 +82,19 @@ def test_clean_twice_is_clean_once(claims):
     assert sorted(once.collect()) == sorted(clean.clean(once).collect())
 
 
+def test_texts_that_are_no_dates(spark):
+    df = spark.createDataFrame([("2023-03-04",), ("2023-13-45",), ("soon",), ("soon",), (None,)], "filed string")
+    got = {(r.filed, r.report_year, r.report_quarter) for r in temporal.add_calendar(df, "filed").collect()}
+    assert got == {("2023-03-04", 2023, "Q1"), ("2023-13-45", None, None), ("soon", None, None), (None, None, None)}
+    bad = {(r.date_text, r.row_count) for r in temporal.bad_dates(df, "filed").collect()}
+    assert bad == {("2023-13-45", 1), ("soon", 2)}
+
+
+def test_blank_state_is_null(spark):
+    got = clean.clean(make_claims(spark, [{"provider_state": "  "}, {"provider_state": " or "}]))
+    assert {r.provider_state for r in got.collect()} == {None, "OR"}
+
+
 def test_calendar_from_date(spark):
     df = spark.createDataFrame([(date(2021, 5, 17),), (None,)], "filed date")
     got = temporal.add_calendar(df, "filed").collect()

@@ -8,7 +8,7 @@ from claimlens.operators.clean import clean
 
 @pytest.fixture
 def sample(spark):
-    rows = [(1, "A", 100, 5000.0), (2, "B", 200, 10000.0), (3, None, 150, 7500.0), (4, "D", 50, 100000.0)]
+    rows = [(11, None, 7, 0.5), (12, "pear", 90, 31.0), (13, "fig", 8, 2.25), (14, "plum", 41, 12.0), (15, None, 6, 1.0)]
     return spark.createDataFrame(rows, "id bigint, name string, claims bigint, cost double")
 
 
@@ -19,9 +19,9 @@ def test_required_columns(sample):
 
 def test_profile_and_missing_values(sample):
     profile = {r.column_name: tuple(r)[1:] for r in quality.column_profile(sample).collect()}
-    assert profile["name"] == ("string", 4, 1, 25.0)
-    assert profile["id"] == ("bigint", 4, 0, 0.0)
-    assert [tuple(r) for r in quality.missing_values(sample).collect()] == [("name", 1, 25.0)]
+    assert profile["name"] == ("string", 5, 2, 40.0)
+    assert profile["id"] == ("bigint", 5, 0, 0.0)
+    assert [tuple(r) for r in quality.missing_values(sample).collect()] == [("name", 2, 40.0)]
     assert quality.missing_values(sample.limit(0)).count() == 0
 
 
@@ -32,7 +32,7 @@ def test_odd_column_names(spark):
 
 
 def test_quality_score(sample):
-    assert tuple(quality.quality_score(sample, ["id", "name", "claims"]).first()) == (4, 3, 75.0)
+    assert tuple(quality.quality_score(sample, ["id", "name", "claims"]).first()) == (5, 3, 60.0)
     assert quality.quality_score(sample.limit(0), ["id"]).first().quality_score == 0.0
 
 

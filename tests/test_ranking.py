@@ -42,13 +42,14 @@ def test_rank_keeps_all_columns(spark):
     assert with_rank(df, ["grp"], "amount", "r").columns == [*df.columns, "r"]
 
 
-def test_first_n_per_group(spark):
+@pytest.mark.parametrize("n", [4, 700, 5000])
+def test_first_n_per_group(spark, n):
     df = spark.createDataFrame(mixed_rows(), SCHEMA)
-    got = first_n(df, ["grp"], [F.desc_nulls_last("amount"), "id"], 4)
+    got = first_n(df, ["grp"], "amount", ["id"], n)
     by_group = {}
     for row in sorted(df.collect(), key=lambda r: (r.amount is None, -(r.amount or 0), r.id)):
         by_group.setdefault(row.grp, []).append(row.id)
-    expected = {(g, n, i) for g, ids in by_group.items() for n, i in enumerate(ids[:4], 1)}
+    expected = {(g, k, i) for g, ids in by_group.items() for k, i in enumerate(ids[:n], 1)}
     assert {(r.grp, r.row_rank, r.id) for r in got.collect()} == expected
 
 

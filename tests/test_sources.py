@@ -97,3 +97,17 @@ def test_session_and_rows(spark):
     assert readers.session() is not None
     df = readers.from_rows(spark, [("1", None, None, "NY", "00501", None, "A", "B", 1, 1.0, 1, None, 1)])
     assert df.first().provider_zip == "00501"
+
+
+def test_zips_are_padded_and_never_cut(spark):
+    given = ["2101", "02101", "501", "21011234", "5011234", "123456789", "02101-1234", " 97035 ", "ABC12", "123456", "1234567890", "", None]
+    want = ["02101", "02101", "00501", "02101", "00501", "12345", "02101", "97035", "ABC12", "123456", "1234567890", "", None]
+    df = spark.createDataFrame(list(enumerate(given)), "k int, z string")
+    assert [r.z for r in df.select("k", readers.five_digits("z").alias("z")).orderBy("k").collect()] == want
+
+
+def test_files_with_another_header_fail_loudly(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("npi,total_claim_count\n1,20\n")
+    (tmp_path / "b.csv").write_text("total_claim_count,npi\n30,2\n")
+    with pytest.raises(Exception):  # noqa: B017
+        readers.read_claims(spark, str(tmp_path)).collect()
