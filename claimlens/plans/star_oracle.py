@@ -7,9 +7,9 @@ from __future__ import annotations
 
 
 def significant(value: str) -> str:
-    """Eight significant digits of numbers from 1e-9 up; smaller ones to 17 decimals."""
-    steps = " ".join(f"WHEN abs({value}) >= 1e{p} THEN round({value}, {7 - p})" for p in range(11, -10, -1))
-    return f"CASE WHEN {value} IS NULL THEN NULL {steps} ELSE round({value}, 17) END"
+    """Ten significant digits of numbers from 1e-9 up; smaller ones to 19 decimals."""
+    steps = " ".join(f"WHEN abs({value}) >= 1e{p} THEN round({value}, {9 - p})" for p in range(11, -10, -1))
+    return f"CASE WHEN {value} IS NULL THEN NULL {steps} ELSE round({value}, 19) END"
 
 
 KEY = "npi, drug_name, generic_name, report_date"
@@ -418,7 +418,7 @@ FROM enriched"""),
     "duplicates": _over("flagged", """
 SELECT npi, drug_name, count(*) AS row_count FROM flagged GROUP BY npi, drug_name HAVING count(*) > 1"""),
     "outliers_zscore": _over("fact", f"""
-SELECT {KEY}, cost_per_claim, {significant('z')} AS cost_per_claim_zscore,
+SELECT {KEY}, cost_per_claim, round(z, 7) AS cost_per_claim_zscore,
        CASE WHEN z > 3 THEN 1 ELSE 0 END AS cost_per_claim_is_outlier
 FROM (SELECT r.*, abs((cost_per_claim - m) / nullif(sd, 0)) AS z
       FROM (SELECT *, total_cost / total_claims AS cost_per_claim FROM fact

@@ -1,6 +1,6 @@
 """Every operator as a query over the star tables: name -> (spark, sf_dir) -> DataFrame.
 
-Averages and other floating-point sums are shown to eight significant digits,
+Averages and other floating-point sums are shown to ten significant digits,
 because their last digits depend on the order of the rows; exact ratios are not.
 """
 
@@ -23,22 +23,24 @@ CLAIM_KEY = ("npi", "drug_name", "generic_name", "report_date")
 CLAIM_MEASURES = ("total_claims", "total_fills", "total_day_supply", "total_cost", "beneficiary_count")
 ROUNDED = (
     "avg_cost_per_claim", "state_avg_cost_per_claim", "county_avg_cost_per_claim",
-    "avg_opioid_pct", "state_avg_opioid_pct", "cost_per_claim_zscore", "slope", "intercept", "r2",
+    "avg_opioid_pct", "state_avg_opioid_pct", "slope", "intercept", "r2",
 )
 
 
 def significant(column: str) -> Column:
-    """Eight significant digits of numbers from 1e-9 up; smaller ones to 17 decimals."""
+    """Ten significant digits of numbers from 1e-9 up; smaller ones to 19 decimals."""
     value = F.col(column)
-    out = F.round(value, 17)
+    out = F.round(value, 19)
     for power in range(-9, 12):
-        out = F.when(F.abs(value) >= float(f"1e{power}"), F.round(value, 7 - power)).otherwise(out)
+        out = F.when(F.abs(value) >= float(f"1e{power}"), F.round(value, 9 - power)).otherwise(out)
     return F.when(value.isNotNull(), out)
 
 
 def _present(df: DataFrame) -> DataFrame:
-    """Money as double, floating-point averages to eight significant digits."""
+    """Money as double, floating-point averages to ten significant digits."""
     rounded = {c: significant(c) for c in df.columns if c in ROUNDED}
+    # A score is a difference from a mean, so its absolute digits are what engines agree in.
+    rounded |= {c: F.round(c, 7) for c in df.columns if c.endswith("_zscore")}
     money = {c: F.col(c).cast("double") for c, kind in df.dtypes if kind.startswith("decimal")}
     return df.withColumns({**rounded, **money})
 
