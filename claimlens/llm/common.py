@@ -26,10 +26,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it back: lineage ends here, and its true size is known."""
+    """Write df as Parquet in the shared folder and read it back: lineage ends here, and its true size is known.
+
+    The file system deletes the table when the session's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
