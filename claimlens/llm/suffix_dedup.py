@@ -7,7 +7,8 @@
    bytes that all windows of a bin have in common are its core, and cores of one context alone are dropped.
 3. One fragment for each context and shared core is fetched, and all suffixes of a core's fragments are sorted block by
    block with a difference cover (``suffixes.py``); equal windows lie side by side. A core with more than ``CROWD``
-   fragments is not gathered: its windows' digests are counted instead, which splits them over all tasks.
+   fragments is not gathered: its windows are parted into finer bins by longer cores, again those of one context alone
+   are dropped, and the digests of the rest are counted, which splits them over all tasks.
 4. Spans of repeated windows go back to all occurrences, and each document is cut once.
 
 Everything is judged on the input. Texts are bytes of UTF-8; a null text is empty, and texts shorter than LENGTH are
@@ -33,8 +34,10 @@ from claimlens.llm.suffixes import repeated_windows
 LENGTH = 400
 BINS = 4
 CROWD = 256
+#: Windows in one of the finer bins of a crowded core.
+FINE = 23
 #: Bytes of fragments sorted together.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 OCCURRENCES = "k1 long, k2 long, gram long, context long, place int, first int, last int, cores array<long>"
 
 
@@ -42,8 +45,8 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit("text"), text).alias("k2")]
 
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
+def _signed(values) -> pa.Array:
+    return pa.array(np.asarray(values, np.uint64).view(np.int64), pa.int64())
 
 
 def bins(length: int) -> list[tuple[int, int]]:
@@ -118,20 +121,20 @@ def _requests(found: DataFrame, length: int) -> DataFrame:
     low = F.element_at(F.array(*(F.lit(a) for a, _ in bins(length))), F.col("bin") + 1)
     high = F.element_at(F.array(*(F.lit(b) for _, b in bins(length))), F.col("bin") + 1)
     return each.join(small(shared), "core").select(
-        "k1", "k2", "core", "sharing", "context", "first",
+        "k1", "k2", "core", "sharing", "context", "first", "place",
         F.greatest("first", F.col("place") - high).alias("from"),
         F.least("last", F.col("place") - low).alias("to"),
     )
 
 
 def _fragments(texts: DataFrame, requests: DataFrame, length: int) -> DataFrame:
-    """The requests' bytes: (core, sharing, context, shift, bytes), shift being the fragment's place in its context."""
-    asked = requests.groupBy("k1", "k2").agg(F.collect_list(F.struct("core", "sharing", "context", "first", "from", "to")).alias("r"))
+    """The requests' bytes: (core, sharing, context, shift, distance, bytes): its place in the context, and how far the anchor is."""
+    asked = requests.groupBy("k1", "k2").agg(F.collect_list(F.struct("core", "sharing", "context", "first", "place", "from", "to")).alias("r"))
     asked = stored(asked, "requests").withColumnsRenamed({"k1": "a1", "k2": "a2"})
     once = texts.dropDuplicates(["k1", "k2"])
     met = once.join(asked, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2"))).select("text", F.explode("r").alias("r"))
     return met.select(
-        "r.core", "r.sharing", "r.context", (F.col("r.from") - F.col("r.first")).alias("shift"),
+        "r.core", "r.sharing", "r.context", (F.col("r.from") - F.col("r.first")).alias("shift"), (F.col("r.place") - F.col("r.from")).alias("distance"),
         F.substring("text", F.col("r.from") + 1, F.col("r.to") - F.col("r.from") + length).alias("bytes"),
     )
 
@@ -163,10 +166,31 @@ def _sorted_runs(fragments: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, RUNS)
 
 
+def finer(value: bytes, distance: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """The finer bins of a fragment: the digest of what all windows of a bin have in common, first and last window."""
+    view, last = memoryview(value), len(value) - length
+    for number in range(max(0, distance - last) // FINE, distance // FINE + 1):
+        low, high = number * FINE, number * FINE + FINE - 1
+        core = xxhash.xxh3_64_intdigest(view[distance - low : distance - high + length], number)
+        yield core, max(0, distance - high), min(last, distance - low)
+
+
 def _counted_runs(fragments: DataFrame, length: int) -> DataFrame:
-    """The same for crowded cores, by counting the windows' digests."""
+    """The same for crowded cores, by counting the digests of the windows whose finer core other contexts share."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (core, context, shift + a, value[a : b + length])
+                for context, shift, distance, value in zip(*(c.to_pylist() for c in batch.columns))
+                for core, a, b in finer(value, distance, length)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [_signed([r[0] for r in rows]), *(pa.array([r[k] for r in rows], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.binary())))],
+                names=["fine", "context", "shift", "bytes"],
+            )
+
+    def digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_intdigest
         for batch in batches:
             for context, shift, value in zip(*(c.to_pylist() for c in batch.columns)):
@@ -177,10 +201,12 @@ def _counted_runs(fragments: DataFrame, length: int) -> DataFrame:
                     names=["w1", "w2", "context", "at"],
                 )
 
-    windows = fragments.select("context", "shift", "bytes").mapInArrow(_merged(run), "w1 long, w2 long, context long, at int")
-    windows = stored(windows, "windows")
+    fine = stored(fragments.select("context", "shift", "distance", "bytes").mapInArrow(parts, "fine long, context long, shift int, bytes binary"), "finer")
+    shared = stored(fine.groupBy("fine").agg(F.min("context").alias("a"), F.max("context").alias("b")).where("a <> b").select("fine"), "shared-finer")
+    rest = fine.join(small(shared), "fine", "left_semi")
+    windows = stored(rest.select("context", "shift", "bytes").mapInArrow(_merged(digests), "w1 long, w2 long, context long, at int"), "windows")
     twice = stored(windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2"), "repeated-windows")
-    return windows.join(twice, ["w1", "w2"]).select("context", F.col("at").alias("a"), F.col("at").alias("b"))
+    return windows.join(small(twice), ["w1", "w2"]).select("context", F.col("at").alias("a"), F.col("at").alias("b"))
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
