@@ -161,14 +161,19 @@ class RunResult(NamedTuple):
     catalog: DataFrame | None = None
 
 
+def read_landed(spark: SparkSession, output: str) -> DataFrame:
+    """All landed lines; a column that a year lacks is NULL there."""
+    return spark.read.option("mergeSchema", True).parquet(f"{output}/{LANDED_PATH}")
+
+
 def extract_phase(spark: SparkSession, raw: RawPaths, output: str, years: Sequence[int] | None) -> DataFrame:
     """Parse the claim files once into Parquet, a folder per year; set bad lines aside; count both."""
     landed = f"{output}/{LANDED_PATH}"
-    if years is None:
-        write_table(read_claims(spark, raw.provider_drug), landed, rebalance=False)
-    for year in years or ():
-        write_table(read_claims(spark, raw.provider_drug, year), f"{landed}/{YEAR}={year}", rebalance=False)
-    lines = spark.read.parquet(landed)
+    for year in years or (None,):
+        lines = read_claims(spark, raw.provider_drug, year)
+        folder = landed if year is None else f"{landed}/{YEAR}={year}"
+        write_table(lines.toDF(*[c.lower() for c in lines.columns]), folder, rebalance=False)
+    lines = read_landed(spark, output)
     write_table(landed_bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
     counts = lines.agg(
         F.expr(f"count_if({CORRUPT} IS NULL) AS records_extracted"), F.expr(f"count_if({CORRUPT} IS NOT NULL) AS lines_rejected")
@@ -182,8 +187,7 @@ def transform_phase(
     quarter: str | None, use_drug_reference: bool, date_column: str | None,
 ) -> DataFrame:
     """Read the landed claims and the dimensions; write the clean layer, what the reference didn't settle, statistics."""
-    lines = spark.read.parquet(f"{output}/{LANDED_PATH}")
-    claims = landed_lines(lines)
+    claims = landed_lines(read_landed(spark, output))
     of_run = [F.col(YEAR).isin(list(years))] if years and not date_column else [F.lit(True)]
     claims = claims.filter(*of_run)
     reference = read_drug_reference(spark, raw.drug_reference) if use_drug_reference else None
@@ -258,12 +262,14 @@ def run(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     output = output.rstrip("/")
-    if year is None:
-        years = year_folders(spark, raw.provider_drug) or None
-    else:
+    if year is not None:
         years = [year] if isinstance(year, int) else [int(y) for y in year]
-    if years is None and date_column is None:
-        raise ValueError("without year folders, a run needs a date column")
+    elif mode == "load":
+        years = None
+    else:
+        years = year_folders(spark, raw.provider_drug) or None
+        if years is None and date_column is None:
+            raise ValueError("without year folders, a run needs a date column")
     result = RunResult()
     if mode in ("full", "extract"):
         result = result._replace(extraction=extract_phase(spark, raw, output, years))
