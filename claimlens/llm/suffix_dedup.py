@@ -38,7 +38,9 @@ CROWD = 256
 FINE = 23
 #: Bytes of fragments sorted together.
 BLOCK = 1 << 18
-OCCURRENCES = "k1 long, k2 long, gram long, context long, place int, first int, last int, cores array<long>"
+#: n neighbouring anchors of the same gram and context are one row: place, first, last and cores are those of the first
+#: of them, upto is the last window of the last.
+OCCURRENCES = "k1 long, k2 long, gram long, context long, n int, place int, first int, last int, upto int, cores array<long>"
 
 
 def text_key(text: Column) -> list[Column]:
@@ -80,11 +82,15 @@ def occurrences(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                 places, firsts, lasts = anchors.anchored(text, length)
                 for at in range(0, len(places), 50_000):
                     p, a, b = (x[at : at + 50_000] for x in (places, firsts, lasts))
-                    grams, contexts = anchors.names(text, length, p, a, b)
+                    grams, contexts = (np.array(x, np.uint64) for x in anchors.names(text, length, p, a, b))
+                    # In a text that repeats a few bytes over and over, each repetition has the same anchor.
+                    new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (contexts[1:] != contexts[:-1])))
+                    n, upto = np.diff(new, append=len(p)), b[np.append(new[1:], len(p)) - 1]
+                    p, a, b, grams, contexts = (x[new] for x in (p, a, b, grams, contexts))
                     yield pa.RecordBatch.from_arrays(
                         [
                             *(pa.array(np.full(len(p), k.as_py(), np.int64)) for k in (k1, k2)), _signed(grams), _signed(contexts),
-                            *(pa.array(x, pa.int32()) for x in (p, a, b)),
+                            *(pa.array(x, pa.int32()) for x in (n, p, a, b, upto)),
                             pa.array(core_hashes(text, length, p.tolist(), a.tolist(), b.tolist()), pa.list_(pa.int64())),
                         ],
                         names=[x.split()[0] for x in OCCURRENCES.split(", ")],
@@ -217,11 +223,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     few, many = fragments.where(F.col("sharing") <= CROWD), fragments.where(F.col("sharing") > CROWD)
     runs = stored(_sorted_runs(few, length).union(_counted_runs(many, length)), "runs")
     per_context = runs.groupBy("context").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
-    twice = found.groupBy("context").count().where("count > 1").select("context", F.lit(None).cast("array<struct<a:int,b:int>>").alias("runs"))
+    twice = found.groupBy("context").agg(F.sum("n").alias("n")).where("n > 1").select("context", F.lit(None).cast("array<struct<a:int,b:int>>").alias("runs"))
     alone = per_context.join(twice.select("context"), "context", "left_anti")
     known = stored(twice.union(alone), "known-contexts")
-    met = found.select("context", "k1", "k2", "first", "last").join(small(known), "context")
-    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("last") - F.col("first")).alias("b")))
+    met = found.select("context", "k1", "k2", "first", "upto").join(small(known), "context")
+    whole = F.array(F.struct(F.lit(0).alias("a"), (F.col("upto") - F.col("first")).alias("b")))
     each = met.select("k1", "k2", "first", F.explode(F.coalesce("runs", whole)).alias("r"))
     spans = each.select("k1", "k2", (F.col("first") + F.col("r.a")).alias("a"), (F.col("first") + F.col("r.b")).alias("b")).distinct()
     return spans.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
