@@ -21,7 +21,7 @@ def optimized(df):
 def test_no_python_no_products(spark, small_dir, name):
     plan = physical(QUERIES[name](spark, small_dir))
     assert not re.search(r"Python|Pandas|ArrowEval|CartesianProduct|BroadcastNestedLoopJoin", plan)
-    assert "Expand" not in plan or name in ("geo_rollup", "profile_nulls", "profile_columns")
+    assert "Expand" not in plan or name in ("geo_rollup", "profile_nulls", "profile_columns", "reconcile_geo")
 
 
 def test_year_bounds_reach_the_scan(spark, small_dir):
@@ -42,9 +42,11 @@ def test_marts_do_not_pay_for_unread_registry_columns(spark, small_dir):
     assert "s_suppkey" not in optimized(marts.provider_summary(fact))
 
 
-def test_top_n_is_cut_before_the_shuffle(spark, small_dir):
-    plan = physical(QUERIES["q_topn_by_specialty"](spark, small_dir))
-    assert re.search(r"WindowGroupLimit.*Partial", plan)
+def test_one_plan_for_every_n_and_no_window_over_a_specialty(spark, small_dir):
+    few, many = (physical(QUERIES[name](spark, small_dir)) for name in ("q_topn_by_specialty", "q_topn_large"))
+    assert re.sub(r"\d+", "", few) == re.sub(r"\d+", "", many)
+    windows = re.findall(r"Window \[[^\n]*", many)
+    assert windows and all("__block" in w or "provider_total_claims" in w for w in windows)
 
 
 @pytest.mark.parametrize("name", ["q_top100_providers", "q_top25_drugs", "q_top10_states", "top_states_opioid"])
