@@ -88,3 +88,58 @@ def test_query_equals_brute_force(spark, small_dir):
     bits = [plain(d.text) for d in docs]
     want = {(d.doc_id, f"{b:016x}", docs[c].doc_id) for d, b, c in zip(docs, bits, brute(bits))}
     assert {tuple(r) for r in simhash.op10_simhash(spark, small_dir).collect()} == want
+
+
+def shingles_of(text, n=5):
+    w = (text or "").lower().split()
+    return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def kept_by_brute_force(rows):
+    """Least id of each component of texts whose five-word sets have a similarity of 0.8 at least."""
+    sets, root = [shingles_of(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in combinations(range(len(rows)), 2):
+        x, y = sets[a], sets[b]
+        if x == y or 5 * len(x & y) >= 4 * len(x | y):
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    return {rows[i][0] for i in range(len(rows)) if root[i] == i}
+
+
+def edited_copies():
+    """Texts with copies of a similarity around 0.8, a group of copies of copies, a shared passage, a common line."""
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(5000)}"
+    texts, passage = [], [word() for _ in range(60)]
+    for n in [12, 40, 150, 300, 600] * 12:
+        words = [word() for _ in range(n)]
+        texts.append(words)
+        for share in (0.005, 0.02, 0.03):
+            other = list(words)
+            for at in rng.sample(range(n), max(1, int(share * n))):
+                other[at] = word()
+            texts.append(other)
+    words = [word() for _ in range(200)]
+    for _ in range(60):
+        words = list(words)
+        words[rng.randrange(200)] = word()
+        texts.append(words)
+    texts += [passage + [word() for _ in range(30)] for _ in range(40)]
+    texts += [["the", "common", "line", "of", "all", "pages"] * 80 + [word() for _ in range(30)] for _ in range(20)]
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def test_one_of_each_finds_edited_copies(spark):
+    rows = edited_copies()
+    want = kept_by_brute_force(rows)
+    bits = [simhash.fingerprint_bits(t.encode()) for _, t in rows]
+    assert len(want) < len({*brute(bits)}) - 30  # two bits of SimHash miss most of them
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == want
