@@ -14,24 +14,37 @@
 Everything is judged on the input. Texts are bytes of UTF-8; a null text is empty, and texts shorter than LENGTH are
 kept. Texts are told apart by 128 bits of hash; equal texts share their results, whatever their ids, and every row
 gives a row.
+
+``without_repeated_words`` does the same with windows of WORDS words, whatever their bytes: each word is coded as
+WORD_BYTES bytes of its hash, and repeated windows of the coded text that start at a word are windows of words. Coded
+windows that start within a word add none: they hold WORDS - 1 whole words and parts of two.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from claimlens.llm import anchors
 from claimlens.llm.common import small, stored, table
 from claimlens.llm.suffixes import repeated_windows
 
 LENGTH = 400
+#: Words in a repeated passage of over fifty, and bytes that stand for each: windows of WORDS * WORD_BYTES bytes are as long
+#: as ``suffixes.py`` takes them.
+WORDS = 51
+WORD_BYTES = 8
+#: Of longer runs without a space, as in scripts that have none, each letter is a word.
+LONGEST = 64
+WORD = re.compile(rb"\S+")
 BINS = 4
 CROWD = 256
 #: Windows in one of the finer bins of a crowded core.
@@ -266,17 +279,52 @@ def whole_letters(text: bytes, spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def with_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, into: str = "removed") -> DataFrame:
-    """docs with the sorted runs of windows to remove from each text: null, or (a, b) structs of first and last window."""
+def word_bounds(text: bytes) -> list[tuple[int, int]]:
+    """Start and end of each word."""
+    out = []
+    for m in WORD.finditer(text):
+        if m.end() - m.start() <= LONGEST:
+            out.append(m.span())
+        else:
+            letters = [k for k in range(*m.span()) if text[k] & 0xC0 != 0x80]
+            out += zip(letters, [*letters[1:], m.end()])
+    return out
+
+
+def coded(text: bytes) -> bytes:
+    """WORD_BYTES bytes for each word of the text."""
+    digest = xxhash.xxh3_64_digest
+    return b"".join([digest(text[a:b]) for a, b in word_bounds(text)])
+
+
+def word_runs(text: bytes, spans: list[dict], words: int) -> list[list[int]]:
+    """Runs [start, end) of bytes that the windows of sorted spans of the coded text cover, each with the space behind it."""
+    bounds = word_bounds(text)
+    whole = [{"a": -(-s["a"] // WORD_BYTES), "b": s["b"] // WORD_BYTES} for s in spans]
+    starts = [*(a for a, _ in bounds), len(text)]
+    return [[starts[a], starts[b]] for a, b in covered([s for s in whole if s["a"] <= s["b"]], words)]
+
+
+@F.arrow_udf(BinaryType())
+def _coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for batch in batches:
+        yield pa.array([coded(x.as_py()) if x.is_valid else None for x in batch], pa.binary())
+
+
+def with_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, into: str = "removed", words: bool = False) -> DataFrame:
+    """docs with the sorted runs of windows to remove from each text: null, or (a, b) structs of first and last window.
+
+    With words, windows are those of the coded text.
+    """
     value = F.col(text).cast("string").cast("binary")
-    texts = docs.select(*text_key(value), value.alias("text"))
+    texts = docs.select(*text_key(value), (_coded.asNondeterministic()(value) if words else value).alias("text"))
     spans = stored(repeated_spans(texts, length), "spans").withColumnsRenamed({"k1": "__k1", "k2": "__k2", "spans": into})
     k1, k2 = text_key(value)
     return docs.join(spans, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left").drop("__k1", "__k2")
 
 
-def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, size: str | None = "n_chars") -> DataFrame:
-    """docs with repeated strings taken out of their texts, in whole letters; documents of which nothing is left go."""
+def _without(marked: DataFrame, columns: list[str], text: str, size: str | None, runs: Callable[[bytes, list[dict]], list[list[int]]]) -> DataFrame:
+    """marked with the runs that ``runs`` makes of a text and its spans taken out; documents of which nothing is left go."""
 
     @F.arrow_udf("string")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -285,16 +333,30 @@ def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, s
             for t, s in zip(texts, spans):
                 raw = t.as_py()
                 if raw is not None and s.is_valid:
-                    raw = cut(raw, whole_letters(raw, covered(s.as_py(), length)))
+                    raw = cut(raw, runs(raw, s.as_py()))
                 out.append(None if raw is None else raw.decode())
             yield pa.array(out, pa.string())
 
-    marked = with_spans(docs, text, length, "__removed")
     done = marked.withColumn(text, run.asNondeterministic()(F.col(text).cast("string").cast("binary"), F.col("__removed")))
     left = done.where(F.col("__removed").isNull() | (F.octet_length(text) > 0))
-    if size in docs.columns:
-        left = left.withColumn(size, F.when(F.col("__removed").isNull(), F.col(size)).otherwise(F.char_length(text).cast(docs.schema[size].dataType)))
-    return left.select(docs.columns)
+    if size in columns:
+        left = left.withColumn(size, F.when(F.col("__removed").isNull(), F.col(size)).otherwise(F.char_length(text).cast(marked.schema[size].dataType)))
+    return left.select(columns)
+
+
+def without_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, size: str | None = "n_chars") -> DataFrame:
+    """docs with repeated strings taken out of their texts, in whole letters; documents of which nothing is left go."""
+    return _without(with_spans(docs, text, length, "__removed"), docs.columns, text, size, lambda raw, spans: whole_letters(raw, covered(spans, length)))
+
+
+def without_repeated_words(docs: DataFrame, text: str = "text", words: int = WORDS, size: str | None = "n_chars") -> DataFrame:
+    """docs with repeated passages of ``words`` words taken out of their texts; documents of which no word is left go."""
+
+    def runs(raw: bytes, spans: list[dict]) -> list[list[int]]:
+        found = word_runs(raw, spans, words)
+        return found if cut(raw, found).split() else [[0, len(raw)]]
+
+    return _without(with_spans(docs, text, words * WORD_BYTES, "__removed", True), docs.columns, text, size, runs)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

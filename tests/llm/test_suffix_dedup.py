@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -120,3 +121,47 @@ def test_query_equals_brute_force(spark, small_dir):
     docs = spark.read.parquet(f"{small_dir}/documents.parquet").collect()
     want = sorted((d.doc_id, *p) for d, p in zip(docs, plain([d.text for d in docs])))
     assert sorted(tuple(r) for r in suffix_dedup.op5_suffix_dedup(spark, small_dir).collect()) == want
+
+
+def without_words(texts, n=51):
+    """Per text what is left of it without repeated windows of n words, found by counting them."""
+    found = [[m.span() for m in re.finditer(rb"\S+", t.encode())] for t in texts]
+    words = [[t.encode()[a:b] for a, b in f] for t, f in zip(texts, found)]
+    seen = Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
+    out = []
+    for t, w, f in zip(texts, words, found):
+        gone, raw = set(), t.encode()
+        for i in range(len(w) - n + 1):
+            if seen[tuple(w[i : i + n])] > 1:
+                gone.update(range(i, i + n))
+        edges = [a for a, _ in f] + [len(raw)]
+        dropped = {k for i in gone for k in range(edges[i], edges[i + 1])}
+        left = bytes(x for k, x in enumerate(raw) if k not in dropped).decode()
+        if not gone or left.split():
+            out.append(left)
+    return sorted(out)
+
+
+def test_passages_of_over_fifty_words_go(spark, monkeypatch):
+    rng = random.Random(5)
+    fresh = lambda n: " ".join(f"{rng.choice(['a', 'no', 'word', 'longer-é'])}{rng.randrange(10**5)}" for _ in range(n))
+    texts = [fresh(30)]
+    for n in (49, 50, 51, 52, 58, 65, 90):
+        for passage in (fresh(n), " ".join(rng.choice("abcdefgh") for _ in range(n))):
+            texts += [f"{fresh(20)} {passage}\n{fresh(25)}", f"{fresh(3)}\n{passage.replace(' ', '  ')} {fresh(40)}"]
+    alone = fresh(55)
+    texts += [alone, f"\n {alone} {alone}", "two words", "w " * 300]
+    want = without_words(texts)
+    assert len(want) < len(texts) and sum(len(t.split()) for t in want) < sum(len(t.split()) for t in texts) - 1000
+    docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    for crowd in (256, 1):
+        monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+        out = suffix_dedup.without_repeated_words(docs).collect()
+        assert sorted(r.text for r in out) == want and all(r.n_chars == len(r.text) for r in out)
+
+
+def test_letters_are_words_where_there_are_no_spaces():
+    text = ("日本語" * 30 + " ab é").encode()
+    bounds = suffix_dedup.word_bounds(text)
+    assert len(bounds) == 92 and text[slice(*bounds[1])].decode() == "本" and text[slice(*bounds[-1])].decode() == "é"
+    assert len(suffix_dedup.coded(text)) == 92 * 8
