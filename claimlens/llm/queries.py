@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, license_scan, quality_fm, rank_queue, simhash, suffix_dedup, token_counts
+from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, license_scan, phrases, quality_fm, rank_queue, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_main_text": html_extract.op1_main_text,
@@ -14,9 +14,11 @@ QUERIES = {
     "op9_language": lang_id.op9_language,
     "op10_simhash": simhash.op10_simhash,
     "op12_rank_queue_bpe": rank_queue.op12_rank_queue_bpe,
+    "op13_phrases": phrases.op13_phrases,
 }
 ORACLE: dict[str, str] = {
     "op2_licenses": license_scan.OP2_SQL,
     "op4_top_k": kdtree_topk.OP4_SQL,
     "op6_decontamination": decontaminate.OP6_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
