@@ -35,12 +35,13 @@ def classes() -> np.ndarray:
 
     An encoding whose tokens are the bytes gives just the characters that its pattern matches.
     """
-    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     out, ranks = np.full(0x110000, OTHER, np.uint8), {bytes([b]): b for b in range(256)}
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
         library = tiktoken.Encoding(f"class-{kind}", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        for at in range(0, len(every), 1 << 12):
-            found = library.decode(library.encode_ordinary("".join(map(chr, every[at : at + (1 << 12)]))))
+        for at in range(0, 0x110000, 0x800):
+            if at == 0xD800:  # surrogates are no characters
+                continue
+            found = library.decode(library.encode_ordinary("".join(map(chr, range(at, at + 0x800)))))
             out[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
     return out
 
@@ -69,8 +70,8 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[pa.Array]:
-    """Consecutive parts of an array of strings, of at most ``limit`` bytes each or of one text."""
-    _, at = buffer_of(texts)
+    """Consecutive parts of an array of strings, binaries or lists, of at most ``limit`` bytes (items) each or of one row."""
+    at = texts.offsets.to_numpy() if pa.types.is_list(texts.type) else buffer_of(texts)[1]
     begin = 0
     while begin < len(texts):
         end = max(begin + 1, int(np.searchsorted(at, at[begin] + limit, "right")) - 1)
@@ -139,8 +140,6 @@ def cut(texts: pa.Array, added: re.Pattern[bytes] | None = None) -> Cuts:
     return Cuts(words, found.indices.to_numpy(), np.searchsorted(begins, at))
 
 
-def gathered(values: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """values[b : b + n] for each b and n, one after another."""
-    ends = np.cumsum(length)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.repeat(begin - ends + length, length) + np.arange(total)]
+def joined(values: pa.Array, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The binary values at some places, one after another: their bytes, and where each starts, with the end as the last one."""
+    return buffer_of(values.take(pa.array(places)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import table
-from claimlens.llm.cutting import binaries, buffer_of, cut, gathered, slices
+from claimlens.llm.cutting import binaries, buffer_of, cut, joined, slices
 from claimlens.llm.pair_table import FREE, PairTable
 
 DEFAULT_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -99,8 +99,7 @@ class RankBPE:
         of_id = [b""] * self.size
         for token, r in ordered:
             of_id[r] = token
-        self.bytes_of, at = buffer_of(pa.array(of_id, pa.binary()))
-        self.begin_of, self.length_of = at[:-1], np.diff(at)
+        self.bytes_of = pa.array(of_id, pa.binary())
         pairs = [(ranks[t[:k]], ranks[t[k:]], r) for t, r in ordered for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, made = np.array(pairs, np.int64).reshape(-1, 3).T
         self.pairs = PairTable(left, right, made)
@@ -150,12 +149,10 @@ class RankBPE:
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct pre-tokens, and where those of each start; a pre-token that is a token is left whole."""
-        data, at = buffer_of(words)
         known = pc.index_in(words, value_set=self.tokens).fill_null(-1).to_numpy(zero_copy_only=False)
         whole = known >= 0
         rest = np.flatnonzero(~whole)
-        lengths = np.diff(at)
-        ids, begin = self.merged(gathered(data, at[rest], lengths[rest]), np.append(0, np.cumsum(lengths[rest])))
+        ids, begin = self.merged(*joined(words, rest))
         counts = np.ones(len(words), np.int64)
         counts[rest] = np.diff(begin)
         start = np.append(0, np.cumsum(counts))
@@ -168,19 +165,15 @@ class RankBPE:
         """The ids of each text."""
         cuts = cut(texts)
         ids, start = self.words(cuts.words)
-        counts = np.diff(start)[cuts.index]
-        ends = np.append(0, np.cumsum(counts))
-        found = gathered(ids, start[cuts.index], counts)
-        return pa.ListArray.from_arrays(pa.array(ends[cuts.first], pa.int32()), pa.array(found, pa.int32()))
+        data, at = joined(binaries(ids.view(np.uint8), start * 4), cuts.index)
+        return pa.ListArray.from_arrays(pa.array(at[cuts.first] // 4, pa.int32()), pa.array(data.view(np.int32)))
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """The bytes of each list of ids."""
         ids = ids.fill_null([]) if ids.null_count else ids
         at = ids.offsets.to_numpy().astype(np.int64)
-        flat = ids.values.to_numpy()[at[0] : at[-1]]
-        lengths = self.length_of[flat]
-        ends = np.append(0, np.cumsum(lengths))
-        return binaries(gathered(self.bytes_of, self.begin_of[flat], lengths), ends[at - at[0]])
+        data, ends = joined(self.bytes_of, ids.values.to_numpy()[at[0] : at[-1]])
+        return binaries(data, ends[at - at[0]])
 
 
 def _from_the_left(overlaps: np.ndarray) -> np.ndarray:
@@ -223,7 +216,8 @@ def decode(tokens: DataFrame, ids: str = "ids", into: str = "decoded", path: str
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = loaded(content.value)
         for batch in batches:
-            yield bpe.decode(batch).cast(pa.binary())
+            parts = [bpe.decode(part).cast(pa.binary()) for part in slices(batch)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
 
     return tokens.withColumn(into, run.asNondeterministic()(tokens[ids]))
 
