@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and the SQL they must equal where SQL can say it."""
 
-from claimlens.llm import bpe, decontaminate, html_extract, kdtree_topk, lang_id, license_scan, phrases, quality_fm, rank_queue, simhash, suffix_dedup, token_counts
+from claimlens.llm import alignment, bpe, decontaminate, html_extract, kdtree_topk, lang_id, license_scan, phrases, quality_fm, rank_queue, simhash, suffix_dedup, token_counts
 
 QUERIES = {
     "op1_main_text": html_extract.op1_main_text,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_language": lang_id.op9_language,
     "op10_simhash": simhash.op10_simhash,
+    "op11_alignment": alignment.op11_alignment,
     "op12_rank_queue_bpe": rank_queue.op12_rank_queue_bpe,
     "op13_phrases": phrases.op13_phrases,
 }
