@@ -1,3 +1,5 @@
+import pyarrow as pa
+
 import corpus_pipeline
 from claimlens.llm import bpe
 
@@ -20,7 +22,7 @@ def test_stages_on_planted_cases(spark, small_dir, tmp_path):
             texts = {r.doc_id: r.text for r in docs.collect()}
             own = bpe.loaded(bpe.vocabulary(spark).value)
             for r in after.collect():
-                assert r.round_trip and own.decode(r.ids) == (texts[r.doc_id] or "") and len(r.ids) == 4 * r.n_tokens
+                assert r.round_trip and own.decode(pa.array([r.ids]))[0].as_py() == (texts[r.doc_id] or "") and len(r.ids) == 4 * r.n_tokens
         docs = after
     assert all(0 < b <= a for a, b in rows.values())
     assert rows["quality"][1] < rows["quality"][0] and rows["near_duplicates"][1] < rows["near_duplicates"][0]
