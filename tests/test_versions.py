@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.sinks import versions
+from claimlens.sinks.versions import current, drop_old_versions, read_table, read_version, write_version
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def frame(spark, *values, schema="y int, s string, v int"):
+    return spark.createDataFrame(list(values), schema)
+
+
+def test_a_write_is_the_table_once_its_manifest_is_there(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    assert current(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, path)
+    assert write_version(spark.range(5), path).number == 1
+    assert write_version(spark.range(3), path).number == 2
+    assert read_table(spark, path).count() == 3
+    assert read_version(spark, path, current(spark, path, 1)).count() == 5
+    write_version(spark.range(0), path)
+    assert read_table(spark, path).columns == ["id"] and read_table(spark, path).count() == 0
+
+
+def test_a_write_that_fails_halfway_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_version(spark.range(100), path)
+    broken = spark.range(1000, numPartitions=4).select(F.expr("if(id = 900, raise_error('lost'), id)").cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_version(broken, path, rebalance=False)
+    assert read_table(spark, path).count() == 100 and current(spark, path).number == 1
+    write_version(spark.range(7), path)
+    assert read_table(spark, path).count() == 7
+
+
+def test_a_second_writer_of_the_same_version_is_refused(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    first = write_version(spark.range(1), path)
+    with pytest.raises(FileExistsError):
+        versions.commit(spark, path, first)
+    assert read_table(spark, path).count() == 1
+    assert [n for n in versions._Folder(spark, path).names(versions.MANIFESTS) if "draft" in n] == []
+
+
+def test_parts_are_replaced_and_others_stay(spark, tmp_path):
+    path, options = f"{tmp_path}/t", {"partition_by": ("y", "s"), "in_parts": True}
+    write_version(frame(spark, (1, "a", 1), (2, "b c/=é", 2), (None, "x", 3)), path, **options)
+    assert rows(read_table(spark, path).na.fill(-1)) == [(-1, "x", 3), (1, "a", 1), (2, "b c/=é", 2)]
+    write_version(frame(spark, (1, None, 9)), path, parts=[1, None], **options)
+    assert sorted(map(str, rows(read_table(spark, path)))) == ["(1, None, 9)", "(2, 'b c/=é', 2)"]
+    assert rows(read_version(spark, path, parts=[2])) == [(2, "b c/=é", 2)]
+    assert read_version(spark, path, parts=[7]).count() == 0
+    files = read_version(spark, path, parts=[2]).inputFiles()
+    assert files and all("y=2" in f for f in files)
+    with pytest.raises(ValueError, match="doesn't replace"):
+        write_version(frame(spark, (5, "q", 0)), path, parts=[1], **options)
+    with pytest.raises(ValueError, match="in parts by"):
+        write_version(frame(spark, (5, "q", 0)), path, partition_by=("s",), in_parts=True, parts=["q"])
+    with pytest.raises(ValueError, match="only a table in parts"):
+        write_version(frame(spark, (5, "q", 0)), path, parts=[1])
+    assert read_table(spark, path).count() == 2
+    write_version(frame(spark, (3, "z", 4)), path, **options)
+    assert rows(read_table(spark, path)) == [(3, "z", 4)]
+
+
+def test_parts_may_lack_columns_but_not_differ_in_type(spark, tmp_path):
+    path, options = f"{tmp_path}/t", {"partition_by": ("y",), "in_parts": True}
+    write_version(frame(spark, (1, "a"), schema="y int, a string"), path, parts=[1], **options)
+    write_version(frame(spark, (2, 5), schema="y int, b int"), path, parts=[2], **options)
+    got = {r.y: (r.a, r.b) for r in read_table(spark, path).collect()}
+    assert got == {1: ("a", None), 2: (None, 5)}
+    with pytest.raises(ValueError, match="column a"):
+        write_version(frame(spark, (3, 5), schema="y int, a int"), path, parts=[3], **options)
+
+
+def test_old_versions_go_when_told(spark, tmp_path):
+    path, options = f"{tmp_path}/t", {"partition_by": ("y",), "in_parts": True}
+    write_version(frame(spark, (1, "a", 1), (2, "b", 2)), path, **options)
+    for k in range(3):
+        write_version(frame(spark, (1, "a", k)), path, parts=[1], **options)
+    assert len(drop_old_versions(spark, path, 1)) == 2  # the first one still holds part 2
+    assert rows(read_table(spark, path).select("y", "s", "v")) == [(1, "a", 2), (2, "b", 2)]
+    assert drop_old_versions(spark, path, 1) == [] and current(spark, path).number == 4
+    with pytest.raises(ValueError):
+        drop_old_versions(spark, path, 0)
+    assert drop_old_versions(spark, f"{tmp_path}/none") == []
+
+
+def test_csv_and_plain_tables(spark, tmp_path):
+    done = write_version(spark.range(4).selectExpr("id", "concat('n', id) AS name"), f"{tmp_path}/c", fmt="csv", files=2)
+    assert rows(read_version(spark, f"{tmp_path}/c")) == [(k, f"n{k}") for k in range(4)]
+    assert len(done.folders(f"{tmp_path}/c")) == 1
+    spark.range(2).write.parquet(f"{tmp_path}/plain")
+    assert read_table(spark, f"{tmp_path}/plain").count() == 2
