@@ -11,44 +11,39 @@ Null texts count as empty: zero bytes, zero tokens. Every row gives one row, rep
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm.bpe import _Memo, chunks, loaded, pre_tokens, vocabulary
+from claimlens.llm.bpe import ByteBPE, loaded, vocabulary
 from claimlens.llm.common import stored, table
+from claimlens.llm.cutting import cut, slices
 
-HOT_SHARE = 2.0**-21
-#: So many distinct chunks of text a task gathers before it hands on their counts.
-FLUSH = 200_000
+HOT_SHARE = 2.0**-20
 TOKEN_LIMIT = 512
 
 
+def _is_added(bpe: ByteBPE, words: pa.Array) -> np.ndarray:
+    """Which pre-tokens are added tokens, one token each wherever they stand."""
+    return pc.is_in(words, value_set=pa.array([*bpe.added], pa.binary())).to_numpy(zero_copy_only=False)
+
+
 def frequencies(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """Each distinct pre-token of the corpus and how often it occurs."""
     content = vocabulary(docs.sparkSession, path)
 
-    def rows(seen: Counter) -> pa.RecordBatch:
-        words: Counter = Counter()
-        for chunk, n in seen.items():
-            for word in pre_tokens(chunk):
-                words[word] += n
-        seen.clear()
-        return pa.RecordBatch.from_pydict({"pre_token": pa.array(words.keys(), pa.string()), "n": pa.array(words.values(), pa.int64())})
-
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, seen = loaded(content.value), Counter()
+        bpe = loaded(content.value)
         for batch in batches:
-            for value in batch.column(0):
-                for part, added in bpe.parts(value.as_py() or ""):
-                    if not added:
-                        seen.update(cut if (cut := chunks(part)) is not None else pre_tokens(part))
-                if len(seen) >= FLUSH:
-                    yield rows(seen)
-        yield rows(seen)
+            for part in slices(batch.column(0)):
+                cuts = cut(part, bpe.added_at)
+                n = np.bincount(cuts.index, minlength=len(cuts.words))
+                own = ~_is_added(bpe, cuts.words)
+                yield pa.RecordBatch.from_pydict({"pre_token": cuts.words.filter(pa.array(own)).cast(pa.string()), "n": pa.array(n[own], pa.int64())})
 
     counted = docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "pre_token string, n long")
     return counted.groupBy("pre_token").agg(F.sum("n").alias("n"))
@@ -62,7 +57,7 @@ def with_pieces(words: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = loaded(content.value)
         for batch in batches:
-            yield pa.array([len(bpe.pieces(x.as_py().encode())) for x in batch], pa.int32())
+            yield pa.array(np.diff(bpe.words(batch.cast(pa.binary()))[1]), pa.int32())
 
     return words.withColumn("pieces", run.asNondeterministic()("pre_token"))
 
@@ -72,40 +67,45 @@ def count_tokens(docs: DataFrame, id: str = "doc_id", text: str = "text", path:
     spark = docs.sparkSession
     words = stored(with_pieces(frequencies(docs, text, path), path), "pre-tokens")
     total = words.agg(F.sum("n")).first()[0] or 0
-    hot_rows = words.where(F.col("n") >= max(1, total * HOT_SHARE)).select("pre_token", "pieces").toArrow()
-    hot = spark.sparkContext.broadcast(dict(zip(*(c.to_pylist() for c in hot_rows.columns))))
+    hot_rows = words.where(F.col("n") >= max(1, total * HOT_SHARE)).select(F.col("pre_token").cast("binary"), "pieces").toArrow()
+    hot = spark.sparkContext.broadcast(tuple(pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in hot_rows.columns))
     content = vocabulary(spark, path)
+    kinds = {"rid": pa.int64(), "id": pa.null(), "n_bytes": pa.int64(), "pre_token": pa.string(), "n": pa.int64()}
+
+    def counted(bpe: ByteBPE, part: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Per text the pieces of its hot pre-tokens; and the others of each text: whose, which, how often."""
+        cuts = cut(part, bpe.added_at)
+        place = pc.index_in(cuts.words, value_set=hot.value[0]).fill_null(-1).to_numpy(zero_copy_only=False)
+        pieces = np.zeros(len(cuts.words), np.int64)
+        pieces[place >= 0] = hot.value[1].to_numpy()[place[place >= 0]]
+        added = _is_added(bpe, cuts.words)
+        pieces[added] = 1
+        sums = np.append(0, np.cumsum(pieces[cuts.index]))
+        rare = ((place < 0) & ~added)[cuts.index]
+        whose = np.repeat(np.arange(len(part)), np.diff(cuts.first))[rare]
+        pair, times = np.unique(whose * len(cuts.words) + cuts.index[rare], return_counts=True)
+        whose, which = np.divmod(pair, max(1, len(cuts.words)))
+        return np.diff(sums[cuts.first]), whose, cuts.words.take(pa.array(which)).cast(pa.string()), times
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, known = loaded(content.value), hot.value
-
-        def split(chunk: str) -> tuple[int, tuple[str, ...]]:
-            cut = pre_tokens(chunk)
-            return sum(known.get(x, 0) for x in cut), tuple(x for x in cut if x not in known)
-
-        memo = _Memo(split)
+        bpe = loaded(content.value)
         for batch in batches:
-            rids, ids, sizes, keys, counts = [], [], [], [], []
-            for rid, own, value, size in zip(*(c.to_pylist() for c in batch.columns)):
-                seen, base, rare = Counter(), 0, Counter()
-                for part, added in bpe.parts(value or ""):
-                    if added:
-                        base += 1
-                    else:
-                        seen.update(cut if (cut := chunks(part)) is not None else pre_tokens(part))
-                for chunk, n in seen.items():
-                    pieces, others = memo[chunk]
-                    base += n * pieces
-                    for word in others:
-                        rare[word] += n
-                # No pre-token is as this key, so this row keeps its count in the join.
-                rids += [rid] * (1 + len(rare))
-                ids += [own] + [None] * len(rare)
-                sizes += [size] + [None] * len(rare)
-                keys += [f"\0\0{rid}", *rare]
-                counts += [base, *rare.values()]
-            kinds = {"rid": pa.int64(), "id": batch.schema.field("id").type, "n_bytes": pa.int64(), "pre_token": pa.string(), "n": pa.int64()}
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((rids, ids, sizes, keys, counts), kinds.values())], names=[*kinds])
+            done, own = 0, kinds | {"id": batch.schema.field("id").type}
+            for part in slices(batch.column(2)):
+                rows = batch.slice(done, len(part))
+                done += len(part)
+                base, whose, which, times = counted(bpe, part)
+                rid, no = rows.column(0).to_numpy(), len(whose)
+                # No pre-token is as this key, so each row keeps its count in the join.
+                keys = pa.array([f"\0\0{r}" for r in rid.tolist()], pa.string())
+                columns = [
+                    pa.array(np.concatenate([rid, rid[whose]])),
+                    pa.concat_arrays([rows.column(1), pa.nulls(no, own["id"])]),
+                    pa.concat_arrays([rows.column(3), pa.nulls(no, pa.int64())]),
+                    pa.concat_arrays([keys, which]),
+                    pa.array(np.concatenate([base, times])),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema([*own.items()]))
 
     value = docs[text].cast("string")
     read = docs.select(

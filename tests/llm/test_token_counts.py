@@ -12,7 +12,6 @@ def test_equals_library(spark, monkeypatch, small_dir):
     want = sorted([(str(i), len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in ROWS])
     for share in (2.0**-21, 0.2, 2.0):  # all hot, some, none
         monkeypatch.setattr(token_counts, "HOT_SHARE", share)
-        monkeypatch.setattr(token_counts, "FLUSH", 2)
         got = token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens").collect()
         assert sorted((str(r[0]), r[1], r[2]) for r in got) == want
     assert token_counts.count_tokens(docs.limit(0)).count() == 0
