@@ -58,7 +58,11 @@ def provider_summary(df: DataFrame, zero_fill: bool = False) -> DataFrame:
     A provider without such drugs has NULL opioid or high-risk claims, and so
     no opioid percentage; ``zero_fill=True`` makes them 0.
     """
-    summary = PROVIDER.of(df)
+    return with_opioid_share(PROVIDER.of(df), zero_fill)
+
+
+def with_opioid_share(summary: DataFrame, zero_fill: bool = False) -> DataFrame:
+    """The provider aggregate with its opioid percentage."""
     if zero_fill:
         summary = summary.fillna(0, ["provider_opioid_claims", "provider_highrisk_claims"])
     return summary.withColumn("opioid_percentage", percent("provider_opioid_claims", "provider_total_claims"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
@@ -14,12 +15,23 @@ from claimlens.config import DEFAULTS, Settings
 from claimlens.operators.classify import flag_risk, risk_from_reference, unknown_categories
 from claimlens.operators.clean import clean, rename_columns
 from claimlens.operators.enrich import enrich
-from claimlens.operators.geo import geo_aggregate, hotspots, per_capita, zip_hotspots, zip_opioid
-from claimlens.operators.marts import drug_summary, provider_summary, specialty_risk
+from claimlens.operators.geo import ZIP_OPIOID, geo_aggregate, geo_grouping, hotspots, per_capita, zip_hotspots
+from claimlens.operators.marts import DRUG, PROVIDER, SPECIALTY, with_opioid_share
 from claimlens.operators.quality import layer_statistics, reconcile_all
-from claimlens.operators.temporal import add_calendar, bad_dates, trends, year_over_year
-from claimlens.sinks.marts import YEAR, read_clean, write_clean, write_marts
-from claimlens.sinks.writers import write_table
+from claimlens.operators.temporal import add_calendar, bad_dates, trend_grouping, year_over_year
+from claimlens.plans import incremental
+from claimlens.sinks.marts import (
+    CATALOG_PATH,
+    CLEAN_PATH,
+    DASHBOARD_PATH,
+    LANDED_FROM,
+    MARTS,
+    YEAR,
+    read_clean,
+    write_clean,
+    write_marts,
+)
+from claimlens.sinks.versions import drop_old_versions, read_version, write_version
 from claimlens.sources.readers import (
     CORRUPT,
     RawPaths,
@@ -43,6 +55,15 @@ EXTRACTION_PATH = "extraction"
 STATISTICS_PATH = "statistics"
 UNKNOWN_CATEGORIES_PATH = "quality/unknown_categories"
 BAD_DATES_PATH = "quality/bad_dates"
+# Marts that are one grouping and nothing else: only their changed folders are written.
+ONE_GROUPING = {
+    "provider_summary": "provider",
+    "drug_summary": "drug",
+    "zip_hotspots": "zip",
+    "temporal_trends": "yearly",
+    "quarterly_trends": "quarterly",
+    "specialty_risk": "specialty",
+}
 # The measures that supplied totals may hold.
 SUPPLIED_MEASURES = ("total_claims", "total_fills", "total_day_supply", "total_cost")
 
@@ -74,29 +95,45 @@ def cleaned_claims(
     return add_calendar(fact, date_column, year, quarter)
 
 
-def marts_of(fact: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
-    """Every aggregate of a cleaned fact, by name. All lazy.
+# The aggregates that all marts are made of.
+GROUPINGS = {
+    "state": geo_grouping("state"),
+    "zip": ZIP_OPIOID,
+    "provider": PROVIDER,
+    "drug": DRUG,
+    "specialty": SPECIALTY,
+    "yearly": trend_grouping("year"),
+    "quarterly": trend_grouping("quarter"),
+}
+
+
+def marts_from(aggregates: Mapping[str, DataFrame], settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Every mart, by name, from the aggregates of GROUPINGS. All lazy.
 
     The tables are not sorted: a partitioned write would not keep the order.
     """
-    states = geo_aggregate(fact, "state").transform(hotspots, percentile=settings.hotspot_percentile)
-    zips = zip_opioid(fact)
-    yearly = trends(fact, "year", ordered=False)
+    states = aggregates["state"].transform(hotspots, percentile=settings.hotspot_percentile)
+    zips, yearly = aggregates["zip"], aggregates["yearly"]
     return {
         "temporal_trends": yearly,
-        "quarterly_trends": trends(fact, "quarter", ordered=False),
+        "quarterly_trends": aggregates["quarterly"],
         "year_over_year": year_over_year(yearly),
         "zip_hotspot_flags": zip_hotspots(zips, settings.hotspot_percentile),
-        "provider_summary": provider_summary(fact),
-        "drug_summary": drug_summary(fact, ordered=False),
+        "provider_summary": with_opioid_share(aggregates["provider"]),
+        "drug_summary": aggregates["drug"],
         "state_hotspots": states,
         "zip_hotspots": zips,
-        "specialty_risk": specialty_risk(fact, ordered=False),
+        "specialty_risk": aggregates["specialty"],
         "state_aggregates": states,
         "zip_opioid_aggregates": zips,
     }
 
 
+def marts_of(fact: DataFrame, settings: Settings = DEFAULTS) -> dict[str, DataFrame]:
+    """Every mart of a cleaned fact, by name. All lazy."""
+    return marts_from({name: grouping.of(fact) for name, grouping in GROUPINGS.items()}, settings)
+
+
 def checks_of(
     fact: DataFrame,
     census: DataFrame | None = None,
@@ -161,25 +198,38 @@ class RunResult(NamedTuple):
     catalog: DataFrame | None = None
 
 
-def read_landed(spark: SparkSession, output: str) -> DataFrame:
-    """All landed lines; a column that a year lacks is NULL there."""
-    return spark.read.option("mergeSchema", True).parquet(f"{output}/{LANDED_PATH}")
+def landing_names(raw: RawPaths, years: Sequence[int] | None) -> list[str]:
+    """What the landed folders of a run are called: by year, or, of a folder without years, by its path.
+
+    So a run replaces what an earlier one landed from the same folder, and nothing else.
+    """
+    if years:
+        return [str(y) for y in years]
+    return [f"base-{hashlib.sha256(raw.provider_drug.rstrip('/').encode()).hexdigest()[:12]}"]
+
+
+def read_landed(spark: SparkSession, output: str, landed: Sequence[str] | None = None) -> DataFrame:
+    """All landed lines, or those of some landed folders; a column that one of them lacks is NULL there."""
+    return read_version(spark, f"{output}/{LANDED_PATH}", parts=landed)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """A small table, written in one file and read again."""
+    return read_version(df.sparkSession, path, write_version(df, path, files=1))
 
 
 def extract_phase(spark: SparkSession, raw: RawPaths, output: str, years: Sequence[int] | None) -> DataFrame:
-    """Parse the claim files once into Parquet, a folder per year; set bad lines aside; count both."""
-    landed = f"{output}/{LANDED_PATH}"
-    for year in years or (None,):
+    """Parse the claim files once into Parquet, a part per raw folder; set bad lines aside; count both."""
+    for year, name in zip(years or (None,), landing_names(raw, years)):
         lines = read_claims(spark, raw.provider_drug, year)
-        folder = landed if year is None else f"{landed}/{YEAR}={year}"
-        write_table(lines.toDF(*[c.lower() for c in lines.columns]), folder, rebalance=False)
+        lines = lines.toDF(*[c.lower() for c in lines.columns]).withColumn(LANDED_FROM, F.lit(name))
+        write_version(lines, f"{output}/{LANDED_PATH}", (LANDED_FROM,), [name], in_parts=True, rebalance=False)
     lines = read_landed(spark, output)
-    write_table(landed_bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
+    write_version(landed_bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
     counts = lines.agg(
         F.expr(f"count_if({CORRUPT} IS NULL) AS records_extracted"), F.expr(f"count_if({CORRUPT} IS NOT NULL) AS lines_rejected")
     )
-    write_table(counts, f"{output}/{EXTRACTION_PATH}", files=1)
-    return spark.read.parquet(f"{output}/{EXTRACTION_PATH}")
+    return _written(counts, f"{output}/{EXTRACTION_PATH}")
 
 
 def transform_phase(
@@ -187,42 +237,50 @@ def transform_phase(
     quarter: str | None, use_drug_reference: bool, date_column: str | None,
 ) -> DataFrame:
     """Read the landed claims and the dimensions; write the clean layer, what the reference didn't settle, statistics."""
-    claims = landed_lines(read_landed(spark, output))
-    of_run = [F.col(YEAR).isin(list(years))] if years and not date_column else [F.lit(True)]
-    claims = claims.filter(*of_run)
+    landed = landing_names(raw, years)
+    claims = landed_lines(read_landed(spark, output, landed))
+    if not date_column:
+        claims = claims.withColumn(YEAR, F.col(LANDED_FROM).cast("int"))
     reference = read_drug_reference(spark, raw.drug_reference) if use_drug_reference else None
     registry = read_registry(spark, raw.npi_registry)
     fact = cleaned_claims(claims, registry, reference, date_column, quarter=quarter, settings=settings)
-    # A date column decides the year of a row, so any folder may change.
-    write_clean(fact, output, None if date_column else years)
+    write_clean(fact, output, landed)
     if reference is not None:
-        write_table(unknown_categories(reference, settings), f"{output}/{UNKNOWN_CATEGORIES_PATH}", files=1)
+        _written(unknown_categories(reference, settings), f"{output}/{UNKNOWN_CATEGORIES_PATH}")
     if date_column:
-        write_table(bad_dates(rename_columns(claims), date_column), f"{output}/{BAD_DATES_PATH}", files=1)
-    statistics = layer_statistics(claims, read_clean(spark, output).filter(*of_run), settings)
-    write_table(statistics, f"{output}/{STATISTICS_PATH}", files=1)
-    return spark.read.parquet(f"{output}/{STATISTICS_PATH}")
+        _written(bad_dates(rename_columns(claims), date_column), f"{output}/{BAD_DATES_PATH}")
+    return _written(layer_statistics(claims, read_clean(spark, output, landed), settings), f"{output}/{STATISTICS_PATH}")
 
 
 def load_phase(
     spark: SparkSession, raw: RawPaths, output: str, settings: Settings, years: Sequence[int] | None,
     csv_files: Mapping[str, int] | None,
 ) -> DataFrame:
-    """Read the clean layer, write marts and catalog, return the catalog."""
-    fact = read_clean(spark, output)
+    """Bring the marts up to the clean layer, of which only changed parts are read; write the catalog and return it."""
+    made, changes = incremental.aggregates(spark, output, GROUPINGS, ONE_GROUPING)
+    tables = marts_from(made, settings)
 
     def totals(read, path: str | None) -> DataFrame | None:
         if path is None:
             return None
         return union_years([read(spark, path, year) for year in years]) if years else read(spark, path)
 
-    census = read_census(spark, raw.census) if raw.census else None
-    of_years = fact.filter(F.col(YEAR).isin(list(years))) if years else fact
+    if raw.census:
+        census = read_census(spark, raw.census)
+        tables["state_per_capita"] = per_capita(made["state"], census, "provider_state", "state_total_claims")
+    of_run = read_clean(spark, output, landing_names(raw, years) if years else None)
     compared = checks_of(
-        of_years, None, totals(read_provider_totals, raw.provider_summary), totals(read_geography_totals, raw.geography_drug)
+        of_run, None, totals(read_provider_totals, raw.provider_summary), totals(read_geography_totals, raw.geography_drug)
     )
-    tables = {**marts_of(fact, settings), **checks_of(fact, census), **compared}
-    return write_marts(spark, tables, output, csv_files)
+    return write_marts(spark, {**tables, **compared}, output, csv_files, changes)
+
+
+def table_paths(output: str) -> list[str]:
+    """Where the tables of a run are."""
+    marts = [p for m in MARTS for p in (m.path, m.csv_path) if p]
+    sums = [f"{incremental.PARTIALS_PATH}/{name}" for name in GROUPINGS]
+    others = (LANDED_PATH, REJECTED_LINES_PATH, EXTRACTION_PATH, CLEAN_PATH, STATISTICS_PATH, UNKNOWN_CATEGORIES_PATH, BAD_DATES_PATH)
+    return [f"{output}/{p}" for p in (*others, *sums, *marts, DASHBOARD_PATH, CATALOG_PATH)]
 
 
 def existing(spark: SparkSession, raw: RawPaths) -> RawPaths:
@@ -248,16 +306,20 @@ def run(
     use_drug_reference: bool = False,
     date_column: str | None = None,
     csv_files: Mapping[str, int] | None = None,
+    keep_versions: int | None = 2,
 ) -> RunResult:
     """Run one phase or, with ``full``, all; each reads what the one before wrote.
 
     ``year`` is one year, several, or None for all year folders (without any,
     the base folder is read, and ``date_column`` must tell the years). Landed
-    and clean layer keep the years of earlier runs; the marts cover all years
-    of the clean layer, the reconciliation those of this run. ``csv_files``
-    sets the number of CSV files by title. A written table between the phases
-    cuts the lineage where it outlives any executor, and lets each mart scan
-    only its own columns.
+    and clean layer keep what earlier runs brought from other raw folders; the
+    marts cover all of the clean layer, the reconciliation the years of this
+    run. ``csv_files`` sets the number of CSV files by title. A written table
+    between the phases cuts the lineage where it outlives any executor, and
+    lets each mart scan only its own columns.
+
+    All tables are in versions: one that fails to be written stays as it was.
+    The last ``keep_versions`` of each are kept, None keeps all.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -278,4 +340,7 @@ def run(
         result = result._replace(statistics=statistics)
     if mode in ("full", "load"):
         result = result._replace(catalog=load_phase(spark, existing(spark, raw), output, settings, years, csv_files))
+    if keep_versions is not None:
+        for path in table_paths(output):
+            drop_old_versions(spark, path, keep_versions)
     return result

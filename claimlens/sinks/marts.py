@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.operators.marts import main_dashboard
-from claimlens.sinks.writers import write_table
+from claimlens.sinks.versions import Manifest, current, read_version, write_version
 
 
 @dataclass(frozen=True)
@@ -30,6 +30,7 @@ class MartFile:
 
 # Folders, file counts and titles that readers of the output know.
 CLEAN_PATH = "clean"
+LANDED_FROM = "landed_from"
 CLEAN_PARTITIONS = ("provider_state", "risk_category")
 YEAR = "report_year"
 CATALOG_PATH = "catalog"
@@ -101,64 +102,100 @@ CATALOG_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("keys", T.ArrayType(T.StringType())),
     T.StructField("measures", T.StringType()),
+    T.StructField("version", T.IntegerType()),
+    T.StructField("folders", T.ArrayType(T.StringType())),
 ])
 
 
-def write_clean(claims: DataFrame, base: str, years: Sequence[int] | None = None) -> int:
-    """The clean layer, in folders per report year, state and risk category.
+def write_clean(claims: DataFrame, base: str, landed: Sequence[str] | None = None) -> Manifest:
+    """The clean layer: a part per landed folder, in it folders per report year, state and risk category.
 
-    With ``years`` only the folders of these years are replaced, each as a
-    whole, and the rows of other years are not written; without, all are.
+    With ``landed`` only the rows that came from these landed folders are
+    replaced, those of each as a whole; without, all are.
     """
+    if LANDED_FROM not in claims.columns:
+        claims = claims.withColumn(LANDED_FROM, F.lit("all"))
     path = f"{base.rstrip('/')}/{CLEAN_PATH}"
-    if years is None:
-        return write_table(claims, path, (YEAR, *CLEAN_PARTITIONS))
-    return sum(
-        write_table(claims.filter(F.col(YEAR) == year).drop(YEAR), f"{path}/{YEAR}={year}", CLEAN_PARTITIONS)
-        for year in years
-    )
+    return write_version(claims, path, (LANDED_FROM, YEAR, *CLEAN_PARTITIONS), landed, in_parts=True)
 
 
-def read_clean(spark: SparkSession, base: str) -> DataFrame:
-    """The written clean layer; folder columns keep their types, whatever the folders are called."""
-    path = f"{base.rstrip('/')}/{CLEAN_PATH}"
-    kinds = {YEAR: T.IntegerType()} | dict.fromkeys(CLEAN_PARTITIONS, T.StringType())
-    schema = T.StructType([
-        T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in spark.read.parquet(path).schema
-    ])
-    return spark.read.schema(schema).parquet(path)
+def read_clean(spark: SparkSession, base: str, landed: Iterable[str] | None = None) -> DataFrame:
+    """The written clean layer, or what came from some landed folders; only their files are opened."""
+    return read_version(spark, f"{base.rstrip('/')}/{CLEAN_PATH}", parts=landed)
+
+
+@dataclass(frozen=True)
+class Change:
+    """What a mart's input is now, and which folders differ from what it was; None: any may."""
+
+    source: str
+    before: str | None
+    folders: tuple | None
+
+
+def _write_mart(table: DataFrame, path: str, mart: MartFile, change: Change | None) -> tuple[Manifest, bool]:
+    """The mart's version, and whether it is a new one. Folders whose input stayed the same are taken over."""
+    spark, in_parts = table.sparkSession, bool(mart.partition_by)
+    options = {"partition_by": mart.partition_by, "in_parts": in_parts}
+    if change is None:
+        return write_version(table, path, **options), True
+    held, notes = current(spark, path), {"source": change.source}
+    reached = held.notes.get("source") if held else None
+    if held and reached == change.source:
+        return held, False
+    if not in_parts or change.folders is None or reached != change.before or held.part_column != mart.partition_by[0]:
+        return write_version(table, path, notes=notes, **options), True
+    folder = F.col(mart.partition_by[0])
+    known = [v for v in change.folders if v is not None]
+    some = folder.isin(known) | (folder.isNull() if len(known) < len(change.folders) else F.lit(False))
+    return write_version(table.filter(some), path, parts=change.folders, notes=notes, **options), True
 
 
 def write_marts(
-    spark: SparkSession, tables: Mapping[str, DataFrame], base: str, csv_files: Mapping[str, int] | None = None
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    base: str,
+    csv_files: Mapping[str, int] | None = None,
+    changes: Mapping[str, Change] | None = None,
 ) -> DataFrame:
     """Write every mart, its CSV copy and the dashboard extract; return the catalog.
 
-    The CSV copies read the Parquet mart just written, so no aggregate runs
-    twice. ``csv_files`` sets the number of files of a copy by the mart's
-    title; the same number holds for any number of rows. Optional marts are
-    left out where ``tables`` lacks them.
+    Each is a table in versions (``sinks/versions.py``); the catalog, written
+    last, names the version of each and the folders it is made of. The CSV
+    copies read the Parquet mart just written, so no aggregate runs twice.
+    ``csv_files`` sets the number of files of a copy by the mart's title; the
+    same number holds for any number of rows. Optional marts are left out
+    where ``tables`` lacks them. With ``changes`` (by source), only folders
+    whose input changed are written, and nothing for a mart without any.
     """
     base = base.rstrip("/")
     files = {m.title: m.csv_files for m in MARTS} | {DASHBOARD_TITLE: DASHBOARD_FILES} | dict(csv_files or {})
     entries = []
+
+    def copy(df: DataFrame, path: str, title: str, new: bool) -> Manifest:
+        held = None if new else current(spark, path)
+        number = files[title]
+        return held if held and held.notes.get("files") == number else write_version(df, path, fmt="csv", files=number, notes={"files": number})
+
     for mart in MARTS:
         if mart.optional and mart.source not in tables:
             continue
         table = tables[mart.source]
         path = f"{base}/{mart.path}"
-        rows = write_table(table, path, mart.partition_by)
-        formats = "parquet"
-        written = spark.read.schema(table.schema).parquet(path).select(table.columns)
+        done, new = _write_mart(table, path, mart, (changes or {}).get(mart.source))
+        written = read_version(spark, path, done).select(table.columns)
+        rows = written.count() if done.rows is None else done.rows
+        formats, folders = "parquet", done.folders(path)
         if mart.csv_path:
-            write_table(written, f"{base}/{mart.csv_path}", fmt="csv", files=files[mart.title])
+            csv = f"{base}/{mart.csv_path}"
+            folders += copy(written, csv, mart.title, new).folders(csv)
             formats = "parquet/csv"
-        entries.append((mart.title, path, formats, table.columns, rows, list(mart.keys), mart.measures))
+        entries.append((mart.title, path, formats, table.columns, rows, list(mart.keys), mart.measures, done.number, folders))
         if mart.source == "provider_summary":
             extract = main_dashboard(written)
             target = f"{base}/{DASHBOARD_PATH}"
-            count = write_table(extract, target, fmt="csv", files=files[DASHBOARD_TITLE])
-            entries.append((DASHBOARD_TITLE, target, "csv", extract.columns, count, list(mart.keys), mart.measures))
+            out = copy(extract, target, DASHBOARD_TITLE, new)
+            entries.append((DASHBOARD_TITLE, target, "csv", extract.columns, rows, list(mart.keys), mart.measures, out.number, out.folders(target)))
     catalog = spark.createDataFrame(entries, CATALOG_SCHEMA)
-    write_table(catalog, f"{base}/{CATALOG_PATH}", files=1)
+    write_version(catalog, f"{base}/{CATALOG_PATH}", files=1)
     return catalog

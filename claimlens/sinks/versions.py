@@ -35,15 +35,20 @@ WHOLE = ""
 
 @dataclass(frozen=True)
 class Manifest:
-    """One version: the folder of each part below its version's folder, the schema, and what the writer noted."""
+    """One version: the version folder that holds each part, the schema, the rows where known, and the writer's notes."""
 
     number: int
     schema: T.StructType
     parts: Mapping[str, str]
     part_column: str | None = None
     fmt: str = "parquet"
+    rows: int | None = None
     notes: Mapping[str, object] = field(default_factory=dict)
 
+    def by_value(self) -> dict[str | None, str]:
+        """The version folder of each part, by the part's value as text."""
+        return {_value(part): version for part, version in self.parts.items()}
+
     def folders(self, path: str, values: Iterable | None = None) -> list[str]:
         """Where the parts lie, or those of some values."""
         wanted = None if values is None else {_text(v) for v in values}
@@ -151,7 +156,7 @@ def write_version(
     if parts is not None and not (in_parts and partition_by):
         raise ValueError("only a table in parts can have some replaced")
     before, version = current(spark, path), uuid.uuid4().hex
-    write_table(df, f"{path}/{VERSION}={version}", partition_by, "error", fmt, files, rebalance)
+    rows = write_table(df, f"{path}/{VERSION}={version}", partition_by, "error", fmt, files, rebalance)
     column = partition_by[0] if in_parts else None
     if not in_parts:
         kept, new = {}, {WHOLE: version}
@@ -166,7 +171,7 @@ def write_version(
                 raise ValueError(f"the table is in parts by {before.part_column}, not by {column}")
             kept = {p: v for p, v in (before.parts if before else {}).items() if _value(p) not in replaced}
     schema = _widened(before.schema, df.schema) if kept else df.schema
-    manifest = Manifest((before.number if before else 0) + 1, schema, {**kept, **new}, column, fmt, dict(notes or {}))
+    manifest = Manifest((before.number if before else 0) + 1, schema, {**kept, **new}, column, fmt, None if kept else rows, dict(notes or {}))
     commit(spark, path, manifest)
     return manifest
 

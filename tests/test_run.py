@@ -8,6 +8,7 @@ from test_sources import raw  # noqa: F401 - fixture
 from claimlens.plans import transformation
 from claimlens.schemas import REGISTRY_NAMES
 from claimlens.sinks.marts import MARTS, read_clean
+from claimlens.sinks.versions import read_table
 from claimlens.sinks.writers import export_sample, write_table
 from claimlens.sources.readers import RawPaths, landed_lines, read_claims, read_registry
 
@@ -69,14 +70,14 @@ def test_full_run_writes_all_layers(spark, raw, tmp_path):  # noqa: F811
     for r in result.catalog.collect():
         assert os.path.isdir(r.path), r.name
         assert "supplied_table" in r["keys"] or set(r["keys"]) <= set(r.columns), r.name
-    assert spark.read.parquet(f"{out}/rejected_lines").count() == 3
+    assert read_table(spark, f"{out}/rejected_lines").count() == 3
     assert tuple(result.extraction.first()) == (2, 3)
     stats = result.statistics.first()
     assert (stats.records_extracted, stats.records_cleaned) == (2, 1)
     clean = read_clean(spark, out).collect()
     assert [(r.npi, r.org_name, r.report_year, r.report_quarter, r.provider_state) for r in clean] == [
         ("0012345679", None, 2022, "Q4", "NV")]
-    assert spark.read.parquet(f"{out}/catalog").count() == len(rows)
+    assert read_table(spark, f"{out}/catalog").count() == len(rows)
 
 
 def test_phases_build_on_each_other(spark, raw, tmp_path):  # noqa: F811
@@ -87,7 +88,7 @@ def test_phases_build_on_each_other(spark, raw, tmp_path):  # noqa: F811
     nowhere = RawPaths("/nowhere", "/nowhere")
     catalog = transformation.run(spark, nowhere, out, 2022, mode="load").catalog
     assert "State Claims per Capita" not in {r.name for r in catalog.collect()}
-    drugs = spark.read.parquet(f"{out}/tableau_ready/drug_summary").first()
+    drugs = read_table(spark, f"{out}/tableau_ready/drug_summary").first()
     assert (drugs.drug_name, drugs.risk_category) == ("PLAIN", "STIMULANT")
     with pytest.raises(ValueError):
         transformation.run(spark, paths, out, 2022, mode="all")
@@ -132,15 +133,15 @@ def test_years_stay_and_agree_with_the_direct_path(spark, tmp_path):
     every = transformation.run(spark, paths, both)
     assert every.statistics.first().records_extracted == 6 and every.statistics.first().records_cleaned == 5
     for path in ("clean", *(m.path for m in MARTS if not m.optional)):
-        one, two = (spark.read.parquet(f"{o}/{path}") for o in (out, both))
+        one, two = (read_table(spark, f"{o}/{path}") for o in (out, both))
         assert sorted(map(str, one.collect())) == sorted(map(str, two.select(one.columns).collect())), path
     rows = {(r.npi, r.report_year): (r.provider_zip, r.provider_state) for r in read_clean(spark, both).collect()}
     assert rows == {("1", 2021): ("02101", "OR"), ("2", 2021): ("02101", None), ("4", 2021): ("02101", "OR"),
                     ("1", 2022): ("02101", "OR"), ("5", 2022): ("02101", "VT")}
     for entry in every.catalog.collect():
         if "csv" != entry.format:
-            assert spark.read.parquet(entry.path).count() == entry.row_count, entry.name
-    change = {(r.provider_state, r.report_year): r.claims_change for r in spark.read.parquet(f"{both}/temporal/year_over_year").collect() if r.risk_category == "OPIOID"}
+            assert read_table(spark, entry.path).count() == entry.row_count, entry.name
+    change = {(r.provider_state, r.report_year): r.claims_change for r in read_table(spark, f"{both}/temporal/year_over_year").collect() if r.risk_category == "OPIOID"}
     assert change["OR", 2022] == 30
     # The same marts from the raw folder of one year, without any layer between.
     direct = transformation.transform_all(
@@ -149,7 +150,7 @@ def test_years_stay_and_agree_with_the_direct_path(spark, tmp_path):
     transformation.run(spark, paths, alone, 2021)
     for mart in MARTS:
         if not mart.optional:
-            written = spark.read.schema(direct[mart.source].schema).parquet(f"{alone}/{mart.path}").select(direct[mart.source].columns)
+            written = read_table(spark, f"{alone}/{mart.path}").select(direct[mart.source].columns)
             assert sorted(map(str, direct[mart.source].collect())) == sorted(map(str, written.collect())), mart.title
 
 
@@ -160,8 +161,8 @@ def test_dates_decide_the_year(spark, tmp_path):
     transformation.run(spark, RawPaths.under(str(tmp_path)), out, 2021, date_column="filed")
     got = {(r.npi, r.report_year, r.report_quarter, r.report_month) for r in read_clean(spark, out).collect()}
     assert got == {("1", 2020, "Q4", 11), ("2", 2021, "Q2", 5), ("3", None, None, None)}
-    assert [tuple(r) for r in spark.read.parquet(f"{out}/quality/bad_dates").collect()] == [("2021-05-99", 1)]
-    quarters = spark.read.parquet(f"{out}/temporal/quarterly_trends").filter("report_quarter = 'Q4'").first()
+    assert [tuple(r) for r in read_table(spark, f"{out}/quality/bad_dates").collect()] == [("2021-05-99", 1)]
+    quarters = read_table(spark, f"{out}/temporal/quarterly_trends").filter("report_quarter = 'Q4'").first()
     assert (quarters.report_year, quarters.quarterly_claims) == (2020, 20)
 
 
@@ -177,27 +178,27 @@ def test_other_inputs_reach_the_marts(spark, tmp_path):
         (tmp_path / folder / "x.csv").write_text(text)
     out = f"{tmp_path}/out"
     result = transformation.run(spark, RawPaths.under(str(tmp_path)), out, 2021, use_drug_reference=True)
-    people = {r.provider_state: r.claims_per_100k for r in spark.read.parquet(f"{out}/hotspots/state_per_capita").collect() if r.risk_category == "OPIOID"}
+    people = {r.provider_state: r.claims_per_100k for r in read_table(spark, f"{out}/hotspots/state_per_capita").collect() if r.risk_category == "OPIOID"}
     assert people == {"OR": 2000.0, None: None}
-    got = {(r.supplied_table, r.key, r.measure): r.status for r in spark.read.parquet(f"{out}/quality/reconciliation").collect()}
+    got = {(r.supplied_table, r.key, r.measure): r.status for r in read_table(spark, f"{out}/quality/reconciliation").collect()}
     key = '{"npi":"%s"}'
     assert got["provider_summary", key % 1, "total_claims"] == got["provider_summary", key % 1, "total_cost"] == "EQUAL"
     assert got["provider_summary", key % 2, "total_claims"] == "DIFFERENT"
     assert got["provider_summary", key % 4, "total_claims"] == "ONLY_OWN" and got["provider_summary", key % 8, "total_claims"] == "ONLY_SUPPLIED"
     assert got["geography_drug", '{"provider_state":"OR","drug_name":"NORCO"}', "total_claims"] == "EQUAL"
-    assert [tuple(r) for r in spark.read.parquet(f"{out}/quality/unknown_categories").collect()] == [("WEIRD", 1, 1)]
+    assert [tuple(r) for r in read_table(spark, f"{out}/quality/unknown_categories").collect()] == [("WEIRD", 1, 1)]
     clean = read_clean(spark, out)
     stats = result.statistics.first()
     assert stats.high_risk_count == clean.filter("is_high_risk = 1").count() == 3
     assert stats.opioid_count == clean.filter("is_opioid = 1").count() == 2
-    assert stats.hotspot_count == spark.read.parquet(f"{out}/hotspots/state_level").filter("is_hotspot = 1").count()
+    assert stats.hotspot_count == read_table(spark, f"{out}/hotspots/state_level").filter("is_hotspot = 1").count()
 
 
 def test_landed_scan_reads_no_number_it_does_not_need(spark, tmp_path):
     claim_files(tmp_path, YEARS)
     out = f"{tmp_path}/out"
     transformation.run(spark, RawPaths.under(str(tmp_path)), out, 2021, mode="extract")
-    plan = landed_lines(spark.read.parquet(f"{out}/landed")).groupBy("nppes_provider_state").count()
+    plan = landed_lines(read_table(spark, f"{out}/landed")).groupBy("nppes_provider_state").count()
     schema = plan._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
     assert "total_claim_count" not in schema and "total_drug_cost" not in schema
 
