@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from claimlens.llm import bpe
 from claimlens.llm.common import stored, table
-from claimlens.llm.cutting import SLICE_BYTES, binaries, buffer_of, cut, joined, slices
+from claimlens.llm.cutting import binaries, buffer_of, cut, joined, slices
 
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 HOT_SHARE = 2.0**-20
-#: Links handled at a time.
-SLICE_LINKS = 1 << 20
+#: Bytes of text, and links, handled at a time.
+SLICE_BYTES = 1 << 20
+SLICE_LINKS = 1 << 19
 MARK = "▁"
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
