@@ -57,9 +57,12 @@ class Grouping:
         out = {}
         for name, measure in self.measures.items():
             if not DISTINCT.fullmatch(measure):
-                if measure not in IN_STEPS and not measure.startswith("sum("):
+                if measure.startswith("hll_sketch_agg("):
+                    sums, whole = (measure,), "hll_union_agg({0})"
+                elif measure in IN_STEPS or measure.startswith("sum("):
+                    sums, whole = IN_STEPS.get(measure, ((measure,), "sum({0})"))
+                else:
                     raise ValueError(f"{measure} can't be taken in two steps")
-                sums, whole = IN_STEPS.get(measure, ((measure,), "sum({0})"))
                 out[name] = (sums, whole.format(*(f"{name}__{k}" for k in range(len(sums)))))
         return out
 

@@ -9,8 +9,12 @@ from claimlens.config import DEFAULTS, GEO_LEVELS
 from claimlens.functions.columns import ratio
 from claimlens.functions.joins import join_unique
 from claimlens.functions.ranking import with_percent_rank
-from claimlens.operators.aggregate import CLAIMS, COST, PATIENTS, PROVIDERS, UNIT_COST, Grouping
+from claimlens.functions.sketches import sketch_sql
+from claimlens.operators.aggregate import CENTS, CLAIMS, COST, PATIENTS, PROVIDERS, UNIT_COST, Grouping
+from claimlens.operators.temporal import TIME_KEYS
 
+# A level's own key below the state's.
+BELOW_STATE = {"zip": ("provider_zip",), "county": ("provider_county",), "state": ()}
 GEO_COLUMNS = dict(zip(GEO_LEVELS, ("provider_state", "provider_zip", "provider_county")))
 
 # An opioid row always has risk_category OPIOID; naming both lets a reader of
@@ -56,12 +60,92 @@ def add_county(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Add ``provider_county`` from a (provider_zip, provider_county) crosswalk.
 
     A ZIP that lies in several counties goes to the first by name, so that no
-    claim is counted twice.
+    claim is counted twice; :func:`county_weighted` parts its claims instead.
     """
     one_each = crosswalk.groupBy("provider_zip").agg(F.min("provider_county").alias("provider_county"))
     return join_unique(df, one_each, "provider_zip")
 
 
+def _largest_remainder(amount: str, by: Window) -> Column:
+    """A whole amount parted by ``__weight`` of ``__weights``: each part rounded down, the rest to the largest remainders.
+
+    Equal remainders go by county. The products have up to 38 digits, so the parts always add up to the amount.
+    """
+    product = f"cast(abs({amount}) AS decimal(20)) * __weight"
+    floor, remainder = F.expr(f"({product}) div __weights"), F.expr(f"({product}) % __weights")
+    left = F.expr(f"abs({amount})") - F.sum(floor).over(by)
+    order = F.row_number().over(by.orderBy(remainder.desc(), F.asc_nulls_last("provider_county")))
+    return F.signum(F.col(amount)).cast("bigint") * (floor + F.when(order <= left, 1).otherwise(0))
+
+
+def county_weighted(df: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Claims, cost and patients per state, county and risk category, where a ZIP may lie in several counties.
+
+    ``crosswalk`` holds (provider_zip, provider_county, weight), the weight
+    being a whole number such as addresses; rows of one pair add up, weights
+    that aren't positive don't count. The claims, cents and patients of each
+    ZIP are parted among its counties by weight, by largest remainder, so
+    county sums equal state sums exactly. A ZIP that the crosswalk doesn't
+    hold keeps its claims under county NULL. The windows run over the counties
+    of one ZIP.
+    """
+    keys = ("provider_state", "provider_zip", "risk_category")
+    measured = {"__claims": CLAIMS, "__cents": CENTS, "__patients": PATIENTS}
+    zips = Grouping(keys, measured).of(df)
+    pairs = crosswalk.filter("weight > 0").groupBy("provider_zip", "provider_county").agg(F.expr("sum(cast(weight AS decimal(18)))").alias("__weight"))
+    pairs = pairs.withColumn("__weights", F.sum("__weight").over(Window.partitionBy("provider_zip")))
+    pairs = pairs.select(F.col("provider_zip").alias("__zip"), "provider_county", F.expr("cast(__weight AS decimal(18))").alias("__weight"), F.expr("cast(__weights AS decimal(18))").alias("__weights"))
+    met = zips.join(pairs, F.col("provider_zip") == F.col("__zip"), "left").fillna({"__weight": 1, "__weights": 1})
+    by = Window.partitionBy(*keys)
+    parted = met.withColumns({m: _largest_remainder(m, by) for m in measured})
+    return parted.groupBy("provider_state", "provider_county", "risk_category").agg(
+        F.sum("__claims").alias("county_total_claims"),
+        F.expr("cast(sum(__cents) AS double) / 100 AS county_total_cost"),
+        F.sum("__patients").alias("county_beneficiary_count"),
+    )
+
+
+def geo_time_sets(df: DataFrame, providers: str | None = "exact") -> DataFrame:
+    """Claims, cost and providers by ZIP, county and state, each by month, quarter and year, in one pass.
+
+    ``geo_level`` and ``time_level`` tell which of the nine a row belongs to;
+    the keys of the finer levels are NULL in it. Counties are left out where
+    ``df`` has none (:func:`add_county`). The claims are first summed by
+    provider and month, so that what is multiplied by the sets is small.
+    ``providers`` is ``exact``, ``sketch`` (an estimate within
+    ``sketches.error_bound``, without a row per provider), or None.
+    """
+    if providers not in ("exact", "sketch", None):
+        raise ValueError(f"providers must be 'exact', 'sketch' or None, not {providers!r}")
+    levels = [g for g in BELOW_STATE if GEO_COLUMNS[g] in df.columns]
+    times = {t: TIME_KEYS[t] for t in ("month", "quarter", "year")}
+    columns = ["provider_state", *(c for g in levels for c in BELOW_STATE[g]), "report_year", "report_quarter", "report_month"]
+    sets = [["provider_state", *BELOW_STATE[g], *times[t]] for g in levels for t in times]
+    sums = {"total_claims": CLAIMS, "__cents": CENTS}
+    if providers == "sketch":
+        sums["__sketch"] = sketch_sql("npi")
+    finest = Grouping((*columns, "npi") if providers == "exact" else tuple(columns), sums).of(df)
+
+    def level(names: dict[str, tuple[str, ...]], last: str) -> Column:
+        """The first of the levels, from the finest on, whose own key is grouped by."""
+        out = F.lit(last)
+        for name, own in reversed(names.items()):
+            if name != last:
+                out = F.when(F.grouping(own[-1]) == 0, name).otherwise(out)
+        return out
+
+    measures = [F.sum("total_claims").alias("total_claims"), F.expr("cast(sum(__cents) AS double) / 100 AS total_cost")]
+    if providers == "exact":
+        measures.append(F.countDistinct("npi").alias("provider_count"))
+    elif providers == "sketch":
+        measures.append(F.hll_sketch_estimate(F.hll_union_agg("__sketch")).alias("provider_count"))
+    return finest.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        level({g: BELOW_STATE[g] for g in levels}, "state").alias("geo_level"),
+        level(times, "year").alias("time_level"),
+        *measures,
+    )
+
+
 def zip_opioid(df: DataFrame) -> DataFrame:
     """Opioid measures per ZIP and state."""
     return ZIP_OPIOID.of(df)

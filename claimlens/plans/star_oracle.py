@@ -308,6 +308,45 @@ SELECT provider_state, NULL, 'state', cast(sum(total_claims) AS bigint),
 UNION ALL
 SELECT NULL, NULL, 'all', cast(sum(total_claims) AS bigint),
        cast(sum(cast(total_cost AS decimal(18,2))) AS double) FROM flagged"""),
+    "geo_county_weighted": _over("flagged", """
+SELECT * FROM (WITH pairs AS (
+  SELECT provider_zip, provider_county, sum(weight) AS w, sum(sum(weight)) OVER (PARTITION BY provider_zip) AS ws
+  FROM (SELECT DISTINCT provider_zip, 'COUNTY_' || substr(provider_zip, 4, 1) AS provider_county, 3 AS weight FROM flagged
+        WHERE substr(provider_zip, 5, 1) <> '9'
+        UNION ALL
+        SELECT DISTINCT provider_zip, 'COUNTY_' || substr(provider_zip, 5, 1), 4 FROM flagged WHERE substr(provider_zip, 5, 1) <> '9')
+  GROUP BY provider_zip, provider_county),
+zips AS (
+  SELECT provider_state, provider_zip, risk_category, sum(total_claims)::HUGEINT AS claims,
+         sum(cast(cast(total_cost AS decimal(18,2)) * 100 AS bigint))::HUGEINT AS cents, sum(beneficiary_count)::HUGEINT AS patients
+  FROM flagged GROUP BY ALL),
+met AS (
+  SELECT z.*, provider_county, coalesce(w, 1)::HUGEINT AS w, coalesce(ws, 1)::HUGEINT AS ws
+  FROM zips z LEFT JOIN pairs p ON z.provider_zip = p.provider_zip),
+parted AS (
+  SELECT provider_state, provider_county, risk_category,
+    claims * w // ws + (row_number() OVER (c ORDER BY claims * w % ws DESC, provider_county) <= claims - sum(claims * w // ws) OVER c)::INT AS claims,
+    cents * w // ws + (row_number() OVER (c ORDER BY cents * w % ws DESC, provider_county) <= cents - sum(cents * w // ws) OVER c)::INT AS cents,
+    patients * w // ws + (row_number() OVER (c ORDER BY patients * w % ws DESC, provider_county) <= patients - sum(patients * w // ws) OVER c)::INT AS patients
+  FROM met WINDOW c AS (PARTITION BY provider_state, provider_zip, risk_category))
+SELECT provider_state, provider_county, risk_category, sum(claims)::BIGINT AS county_total_claims,
+       sum(cents)::DOUBLE / 100 AS county_total_cost, sum(patients)::BIGINT AS county_beneficiary_count
+FROM parted GROUP BY ALL) weighted"""),
+    "geo_time_sets": _over("flagged", """
+SELECT provider_state, provider_zip, provider_county, report_year, report_quarter, report_month,
+       CASE WHEN grouping(provider_zip) = 0 THEN 'zip' WHEN grouping(provider_county) = 0 THEN 'county' ELSE 'state' END AS geo_level,
+       CASE WHEN grouping(report_month) = 0 THEN 'month' WHEN grouping(report_quarter) = 0 THEN 'quarter' ELSE 'year' END AS time_level,
+       sum(total_claims)::BIGINT AS total_claims, sum(cast(total_cost AS decimal(18,2)))::DOUBLE AS total_cost,
+       count(DISTINCT npi) AS provider_count
+FROM (SELECT *, 'COUNTY_' || substr(provider_zip, 4, 1) AS provider_county FROM flagged)
+GROUP BY GROUPING SETS (
+  (provider_state, provider_zip, report_year, report_month), (provider_state, provider_zip, report_year, report_quarter),
+  (provider_state, provider_zip, report_year), (provider_state, provider_county, report_year, report_month),
+  (provider_state, provider_county, report_year, report_quarter), (provider_state, provider_county, report_year),
+  (provider_state, report_year, report_month), (provider_state, report_year, report_quarter), (provider_state, report_year))"""),
+    "provider_sketch_rollup": _over("flagged", """
+SELECT provider_state, sum(total_claims)::BIGINT AS total_claims, count(DISTINCT npi) AS exact_providers, 1 AS within_bound
+FROM flagged GROUP BY provider_state"""),
     "geo_per_capita": _over("state", """
 SELECT s.*, population, cast(state_total_claims AS double) / population * 100000 AS claims_per_100k
 FROM state s LEFT JOIN (

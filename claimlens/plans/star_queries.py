@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.functions import sketches
 from claimlens.operators import classify, clean, dashboard, enrich, geo, marts, quality, temporal
 from claimlens.plans import star_tables as star
 from claimlens.plans.transformation import marts_of
@@ -150,6 +151,36 @@ def geo_county(spark: SparkSession, sf: str) -> DataFrame:
     return _present(geo.geo_aggregate(geo.add_county(star.flagged_fact(spark, sf), crosswalk), "county"))
 
 
+def _shared_zips(spark: SparkSession, sf: str) -> DataFrame:
+    """Every ZIP in the county of its fourth digit and in that of its fifth, some in none; odd weights, pairs twice."""
+    zips = star.providers(spark, sf).select("provider_zip").distinct().filter("substr(provider_zip, 5, 1) <> '9'")
+    return zips.selectExpr(
+        "provider_zip",
+        "explode(array(named_struct('c', substr(provider_zip, 4, 1), 'w', 3L), named_struct('c', substr(provider_zip, 5, 1), 'w', 4L), "
+        "named_struct('c', substr(provider_zip, 3, 1), 'w', 0L))) AS x",
+    ).selectExpr("provider_zip", "concat('COUNTY_', x.c) AS provider_county", "x.w AS weight")
+
+
+def geo_county_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    return geo.county_weighted(star.flagged_fact(spark, sf), _shared_zips(spark, sf))
+
+
+def geo_time_sets(spark: SparkSession, sf: str) -> DataFrame:
+    county = F.concat(F.lit("COUNTY_"), F.substring("provider_zip", 4, 1))
+    return geo.geo_time_sets(star.flagged_fact(spark, sf).withColumn("provider_county", county))
+
+
+def provider_sketch_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Providers per state from sketches by quarter, specialty and category, beside the exact count and the bound."""
+    fact = star.flagged_fact(spark, sf)
+    rolled = sketches.roll_up(sketches.PROVIDER_SKETCHES.of(fact), ["provider_state"])
+    exact = fact.groupBy("provider_state").agg(F.countDistinct("npi").alias("exact_providers"))
+    gap = F.abs(F.col("providers") - F.col("exact_providers"))
+    return rolled.join(exact, "provider_state").select(
+        "provider_state", "total_claims", "exact_providers", (gap <= F.col("exact_providers") * sketches.error_bound()).cast("int").alias("within_bound")
+    )
+
+
 def quality_score(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_score(_enriched(spark, sf), ["npi", "drug_name", "org_name"])
 
@@ -257,6 +288,9 @@ QUERIES: dict[str, Query] = {
     "geo_level_region": _over_flagged(lambda df: geo.geo_aggregate(df, "county", "provider_region")),
     "geo_county": geo_county,
     "geo_rollup": _over_flagged(geo.geo_rollup),
+    "geo_county_weighted": geo_county_weighted,
+    "geo_time_sets": geo_time_sets,
+    "provider_sketch_rollup": provider_sketch_rollup,
     "geo_per_capita": geo_per_capita,
     "hotspot_state": _over_flagged(_hotspots),
     "hotspot_state_literal": _over_flagged(lambda df: _hotspots(df, descending=True)),
