@@ -1,0 +1,30 @@
+"""The queries on claims load whatever the training-data subpackage lacks."""
+
+import os
+import subprocess
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+PROGRAM = """
+import sys
+class Gone:
+    def find_spec(self, name, path=None, target=None):
+        if name in {gone!r}:
+            raise ModuleNotFoundError(f"No module named {{name!r}}", name=name)
+sys.meta_path.insert(0, Gone())
+import __spark_entry__ as entry
+from claimlens.plans.star_queries import QUERIES
+assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
+print(sum(n.startswith("op") for n in entry.queries()), "pipeline" in entry.queries())
+"""
+
+
+@pytest.mark.parametrize("gone", [("zstandard",), ("public_tokenizers",), ("claimlens.llm", "corpus_pipeline"), ("corpus_pipeline",)])
+def test_claims_queries_load_without(gone):
+    done = subprocess.run([sys.executable, "-c", PROGRAM.format(gone=gone)], cwd=ROOT, capture_output=True, text=True, check=True)
+    count, pipeline = done.stdout.split()[-2:]
+    assert pipeline == "False" or gone == ("zstandard",)
+    assert int(count) == 0 or gone == ("corpus_pipeline",)
+    assert "without the" in done.stderr
