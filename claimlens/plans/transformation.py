@@ -31,7 +31,9 @@ from claimlens.sinks.marts import (
     write_clean,
     write_marts,
 )
+from claimlens.schemas import PROVIDER_DRUG_NAMES
 from claimlens.sinks.versions import drop_old_versions, read_version, write_version
+from claimlens.sources.headers import header_report
 from claimlens.sources.readers import (
     CORRUPT,
     RawPaths,
@@ -46,11 +48,13 @@ from claimlens.sources.readers import (
     read_registry,
     union_years,
     year_folders,
+    year_path,
 )
 
 MODES = ("full", "extract", "transform", "load")
 LANDED_PATH = "landed"
 REJECTED_LINES_PATH = "rejected_lines"
+HEADERS_PATH = "quality/headers"
 EXTRACTION_PATH = "extraction"
 STATISTICS_PATH = "statistics"
 UNKNOWN_CATEGORIES_PATH = "quality/unknown_categories"
@@ -224,6 +228,8 @@ def extract_phase(spark: SparkSession, raw: RawPaths, output: str, years: Sequen
         lines = read_claims(spark, raw.provider_drug, year)
         lines = lines.toDF(*[c.lower() for c in lines.columns]).withColumn(LANDED_FROM, F.lit(name))
         write_version(lines, f"{output}/{LANDED_PATH}", (LANDED_FROM,), [name], in_parts=True, rebalance=False)
+        headers = header_report(spark, year_path(raw.provider_drug, year), [*PROVIDER_DRUG_NAMES]).withColumn(LANDED_FROM, F.lit(name))
+        write_version(headers, f"{output}/{HEADERS_PATH}", (LANDED_FROM,), [name], in_parts=True)
     lines = read_landed(spark, output)
     write_version(landed_bad_lines(lines), f"{output}/{REJECTED_LINES_PATH}")
     counts = lines.agg(
@@ -279,7 +285,7 @@ def table_paths(output: str) -> list[str]:
     """Where the tables of a run are."""
     marts = [p for m in MARTS for p in (m.path, m.csv_path) if p]
     sums = [f"{incremental.PARTIALS_PATH}/{name}" for name in GROUPINGS]
-    others = (LANDED_PATH, REJECTED_LINES_PATH, EXTRACTION_PATH, CLEAN_PATH, STATISTICS_PATH, UNKNOWN_CATEGORIES_PATH, BAD_DATES_PATH)
+    others = (LANDED_PATH, HEADERS_PATH, REJECTED_LINES_PATH, EXTRACTION_PATH, CLEAN_PATH, STATISTICS_PATH, UNKNOWN_CATEGORIES_PATH, BAD_DATES_PATH)
     return [f"{output}/{p}" for p in (*others, *sums, *marts, DASHBOARD_PATH, CATALOG_PATH)]
 
 

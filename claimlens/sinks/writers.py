@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 FORMAT_OPTIONS = {"parquet": {"compression": "snappy"}, "csv": {"header": "true"}}
@@ -51,6 +51,25 @@ def write_table(
     return counted.get["rows"]
 
 
-def export_sample(df: DataFrame, path: str, rows: int = 10_000) -> int:
-    """Write at most ``rows`` rows as one CSV file, for a look at the data."""
-    return write_table(df.limit(rows), path, fmt="csv", files=1)
+def sample_rows(df: DataFrame, rows: int, key: Sequence[str] = (), salt: int = 0, by: Sequence[str] = ()) -> DataFrame:
+    """A uniform sample without replacement: the ``rows`` rows of the smallest salted hash of their key, of each group of ``by``.
+
+    Which rows are drawn depends on their keys and the salt alone, so it is
+    the same for any partitioning and after lost tasks. Each task hands on
+    its ``rows`` smallest (per group), and these are merged; no row is sorted
+    with all others. The key is all columns by default; rows that share a key
+    stand side by side in the order, and are told apart by the rest of the row.
+    """
+    hashes = [F.xxhash64(F.lit(salt), F.to_json(F.struct(*names), {"ignoreNullFields": "false"})) for names in (key or df.columns, df.columns)]
+    drawn = df.withColumns({"__hash": hashes[0], "__rest": hashes[1]})
+    if not by:
+        return drawn.orderBy("__hash", "__rest").limit(rows).drop("__hash", "__rest")
+    order = Window.partitionBy(*by).orderBy("__hash", "__rest")
+    return drawn.withColumn("__place", F.row_number().over(order)).filter(F.col("__place") <= rows).drop("__hash", "__rest", "__place")
+
+
+def export_sample(
+    df: DataFrame, path: str, rows: int = 10_000, key: Sequence[str] = (), salt: int = 0, by: Sequence[str] = ()
+) -> int:
+    """Write a uniform sample of at most ``rows`` rows (of each group of ``by``) as one CSV file, for a look at the data."""
+    return write_table(sample_rows(df, rows, key, salt, by), path, fmt="csv", files=1)

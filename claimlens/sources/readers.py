@@ -1,10 +1,11 @@
 """Readers for the raw files.
 
 Columns are found by their header name, in any case and order, and get a
-declared type; nothing is inferred from the data. All files of one folder must
-have the same header (a file with another one fails the read, it is never
-matched by position); folders of different years may differ. Opening a folder
-reads one header line; everything else is lazy.
+declared type; nothing is inferred from the data. The files of a folder of
+claims may have different headers, as folders of different years may: each
+distinct header is one scan, and they are stacked by name. In the other
+folders a file with another header fails the read; it is never matched by
+position. Opening a folder reads header lines; everything else is lazy.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 from claimlens import schemas
 from claimlens.operators.enrich import select_registry
+from claimlens.sources.headers import header_index
 
 CORRUPT = "_corrupt_record"
 
@@ -45,23 +47,26 @@ def year_path(base: str, year: int | str | None = None) -> str:
 
 
 def read_csv(
-    spark: SparkSession, path: str, types: Mapping[str, T.DataType] | None = None, keep_corrupt: bool = False
+    spark: SparkSession, path: str | Sequence[str], types: Mapping[str, T.DataType] | None = None, keep_corrupt: bool = False,
+    header: Sequence[str] | None = None,
 ) -> DataFrame:
     """CSV with a header; columns not in ``types`` are strings.
 
     ``keep_corrupt`` adds ``_corrupt_record``: the text of every line with
     too few or too many fields or with an unreadable number; every line is
     then split into all its fields. Without it Spark parses only the columns
-    in use.
+    in use. ``path`` may be some files; where their ``header`` is known, none
+    is read for it.
     """
     wanted = {name.lower(): dtype for name, dtype in (types or {}).items()}
-    header = spark.read.option("header", True).csv(path).columns
+    if header is None:
+        header = spark.read.option("header", True).csv(path).columns
     fields = [T.StructField(name, wanted.get(name.lower(), T.StringType())) for name in header]
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     if keep_corrupt:
         fields.append(T.StructField(CORRUPT, T.StringType()))
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-    return reader.schema(T.StructType(fields)).csv(path)
+    return reader.schema(T.StructType(fields)).csv(path if isinstance(path, str) else list(path))
 
 
 def _lines_where(df: DataFrame, condition: str) -> DataFrame:
@@ -109,8 +114,16 @@ def five_digits(zip_code: str) -> Column:
 
 
 def read_claims(spark: SparkSession, path: str, year: int | str | None = None) -> DataFrame:
-    """Provider-by-drug claims with ``_corrupt_record``; ZIPs get their five digits."""
-    raw = read_csv(spark, year_path(path, year), schemas.CLAIM_NUMBERS, keep_corrupt=True)
+    """Provider-by-drug claims with ``_corrupt_record``; ZIPs get their five digits.
+
+    A column that some of the folder's files lack is NULL in their lines.
+    """
+    folder = year_path(path, year)
+    headers = header_index(spark, folder)
+    if len(headers) > 1:
+        raw = union_years([read_csv(spark, files, schemas.CLAIM_NUMBERS, True, header) for header, files in headers.items()])
+    else:
+        raw = read_csv(spark, folder, schemas.CLAIM_NUMBERS, keep_corrupt=True)
     zips = [c for c in raw.columns if schemas.PROVIDER_DRUG_NAMES.get(c.lower()) == "provider_zip"]
     return raw.withColumns({c: five_digits(c) for c in zips})
 
