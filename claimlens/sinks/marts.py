@@ -26,6 +26,7 @@ class MartFile:
     csv_path: str | None = None
     csv_files: int = 1
     optional: bool = False
+    sort_by: tuple[str, ...] = ()
 
 
 # Folders, file counts and titles that readers of the output know.
@@ -47,7 +48,7 @@ MARTS = (
     MartFile(
         "drug_summary", "tableau_ready/drug_summary", "Drug Summary",
         ("drug_name", "generic_name", "risk_category"), "claims, cost, distinct prescribers, mean unit cost",
-        ("risk_category",),
+        ("risk_category",), sort_by=("-drug_total_claims", "drug_name", "generic_name"),
     ),
     MartFile(
         "state_hotspots", "hotspots/state_level", "State Hotspots",
@@ -62,11 +63,12 @@ MARTS = (
     MartFile(
         "temporal_trends", "temporal/yearly_trends", "Temporal Trends",
         ("report_year", "provider_state", "risk_category"), "yearly claims, cost and providers",
-        ("report_year",),
+        ("report_year",), sort_by=("provider_state", "risk_category"),
     ),
     MartFile(
         "specialty_risk", "tableau_ready/specialty_risk", "Specialty Risk",
         ("specialty", "risk_category"), "claims and providers",
+        sort_by=("-specialty_claims", "specialty", "risk_category"),
     ),
     MartFile(
         "quarterly_trends", "temporal/quarterly_trends", "Quarterly Trends",
@@ -136,7 +138,7 @@ class Change:
 def _write_mart(table: DataFrame, path: str, mart: MartFile, change: Change | None) -> tuple[Manifest, bool]:
     """The mart's version, and whether it is a new one. Folders whose input stayed the same are taken over."""
     spark, in_parts = table.sparkSession, bool(mart.partition_by)
-    options = {"partition_by": mart.partition_by, "in_parts": in_parts}
+    options = {"partition_by": mart.partition_by, "in_parts": in_parts, "sort_by": mart.sort_by}
     if change is None:
         return write_version(table, path, **options), True
     held, notes = current(spark, path), {"source": change.source}

@@ -143,6 +143,7 @@ def write_version(
     files: int | None = None,
     rebalance: bool = True,
     notes: Mapping[str, object] | None = None,
+    sort_by: Sequence[str] = (),
 ) -> Manifest:
     """Write df as the next version of the table at ``path``, and commit it.
 
@@ -156,7 +157,7 @@ def write_version(
     if parts is not None and not (in_parts and partition_by):
         raise ValueError("only a table in parts can have some replaced")
     before, version = current(spark, path), uuid.uuid4().hex
-    rows = write_table(df, f"{path}/{VERSION}={version}", partition_by, "error", fmt, files, rebalance)
+    rows = write_table(df, f"{path}/{VERSION}={version}", partition_by, "error", fmt, files, rebalance, sort_by=sort_by)
     column = partition_by[0] if in_parts else None
     if not in_parts:
         kept, new = {}, {WHOLE: version}
@@ -171,7 +172,7 @@ def write_version(
                 raise ValueError(f"the table is in parts by {before.part_column}, not by {column}")
             kept = {p: v for p, v in (before.parts if before else {}).items() if _value(p) not in replaced}
     schema = _widened(before.schema, df.schema) if kept else df.schema
-    manifest = Manifest((before.number if before else 0) + 1, schema, {**kept, **new}, column, fmt, None if kept else rows, dict(notes or {}))
+    manifest = Manifest((before.number if before else 0) + 1, schema, {**kept, **new}, column, fmt, None if kept else rows, {**({"sort_by": [*sort_by]} if sort_by else {}), **(notes or {})})
     commit(spark, path, manifest)
     return manifest
 
@@ -206,6 +207,33 @@ def read_version(spark: SparkSession, path: str, manifest: Manifest | None = Non
     return reader.load(folders).select([F.col(f"`{f.name}`") for f in manifest.schema])
 
 
+def read_top(spark: SparkSession, path: str, n: int, part: object = WHOLE) -> DataFrame:
+    """The first ``n`` rows of a table written with ``sort_by``, or of one of its parts: opens the first files, as many as hold n rows."""
+    path = path.rstrip("/")
+    manifest = current(spark, path)
+    order = (manifest.notes if manifest else {}).get("sort_by")
+    if not order:
+        raise ValueError(f"the table at {path} isn't sorted")
+    folders = manifest.folders(path, None if part == WHOLE else [part])
+    if manifest.part_column and len(folders) > 1:
+        raise ValueError("each part has an order of its own: name one")
+    by = [F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in order]
+    rows = read_version(spark, path, manifest, None if part == WHOLE else [part])
+    files = sorted(rows.inputFiles(), key=lambda f: f.rpartition("/")[2])
+    schema, held, chosen = T.StructType([f for f in rows.schema if f.name != manifest.part_column]), 0, []
+    for file in files:
+        chosen.append(file)
+        held += spark.read.schema(schema).parquet(file).count()  # from its footer
+        if held >= n:
+            break
+    if not chosen:
+        return rows.limit(0)
+    first = spark.read.schema(schema).parquet(*chosen)
+    if manifest.part_column:
+        first = first.withColumn(manifest.part_column, F.lit(_text(part)).cast(rows.schema[manifest.part_column].dataType))
+    return first.select(rows.columns).orderBy(*by).limit(n)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table in versions, or else plain Parquet."""
     return read_version(spark, path) if current(spark, path) else spark.read.parquet(path)

@@ -20,6 +20,7 @@ def write_table(
     files: int | None = None,
     rebalance: bool = True,
     replace_partitions_only: bool = False,
+    sort_by: Sequence[str] = (),
 ) -> int:
     """Write a table and return its row count, without reading it a second time.
 
@@ -29,13 +30,19 @@ def write_table(
     tasks. ``files`` asks for that many files instead; use it for tables of a
     known size. ``rebalance=False`` writes the partitions as they come, without
     a shuffle. ``replace_partitions_only`` leaves the folders that
-    get no new rows as they are. ``fmt`` may be any format Spark has on its
+    get no new rows as they are. ``sort_by`` (a leading minus: from high to low)
+    deals the rows by ranges of the folders and these columns, and sorts each:
+    the files of a folder, by name, are in one order, and so are their row
+    groups, whose statistics then tell a reader which to pass by. ``fmt`` may be any format Spark has on its
     classpath ('delta' needs its jar).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     counted = Observation()
-    if files:
+    if sort_by:
+        order = [*map(F.asc_nulls_last, partition_by), *(F.desc_nulls_last(c[1:]) if c.startswith("-") else F.asc_nulls_last(c) for c in sort_by)]
+        df = (df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)).sortWithinPartitions(*order)
+    elif files:
         df = df.repartition(files)
     elif rebalance:
         df = df.hint("rebalance", *partition_by)

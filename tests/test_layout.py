@@ -1,0 +1,108 @@
+"""Sorted marts and bucketed tables."""
+
+from glob import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimlens.operators import enrich, marts
+from claimlens.plans import star_tables as star
+from claimlens.sinks.bucketed import enrich_colocated, heaviest_share, read_bucketed, write_bucketed
+from claimlens.sinks.marts import MARTS
+from claimlens.sinks.versions import current, read_top, read_version, write_version
+
+
+def files_in_order(spark, folder, columns):
+    names = sorted(glob(f"{folder}/*.parquet"), key=lambda f: f.rpartition("/")[2])
+    return [[tuple(r[c] for c in columns) for r in spark.read.parquet(f).collect()] for f in names]
+
+
+@pytest.fixture
+def small_files(spark):
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_drug_mart_files_are_in_one_order(spark, small_dir, tmp_path, small_files):
+    mart = next(m for m in MARTS if m.source == "drug_summary")
+    drugs = marts.drug_summary(star.flagged_fact(spark, small_dir), ordered=False)
+    path = f"{tmp_path}/drugs"
+    done = write_version(drugs, path, mart.partition_by, in_parts=True, sort_by=mart.sort_by)
+    several = 0
+    for folder, part in zip(done.folders(path), sorted(done.parts)):
+        files = files_in_order(spark, folder, ("drug_total_claims", "drug_name", "generic_name"))
+        rows = [r for f in files for r in f]
+        assert rows == sorted(rows, key=lambda r: (-r[0], r[1], r[2]))
+        several += len(files) > 1
+        category = part.partition("=")[2]
+        top = read_top(spark, path, 3, category)
+        assert [tuple(r)[:1] for r in top.select("drug_name").collect()] == [(r[1],) for r in rows[:3]]
+        assert len(top.inputFiles()) == 1 and top.columns == drugs.columns
+        assert {r.risk_category for r in top.collect()} == {category}
+    assert several
+    want = sorted(map(str, drugs.collect()))
+    assert sorted(map(str, read_version(spark, path).collect())) == want
+
+
+def test_top_of_a_table_without_parts(spark, tmp_path, small_files):
+    df = spark.range(1000).selectExpr("if(id % 50 = 0, NULL, (id * 7919) % 1000) AS v", "id")
+    path = f"{tmp_path}/t"
+    write_version(df, path, sort_by=("-v", "id"))
+    want = [tuple(r) for r in df.orderBy(F.desc_nulls_last("v"), "id").limit(25).collect()]
+    top = read_top(spark, path, 25)
+    assert [tuple(r) for r in top.collect()] == want and len(top.inputFiles()) == 1
+    assert read_top(spark, path, 400).count() == 400 and len(read_top(spark, path, 400).inputFiles()) > 1
+    assert read_top(spark, path, 5000).count() == 1000
+    write_version(spark.range(3), f"{tmp_path}/u")
+    with pytest.raises(ValueError, match="sorted"):
+        read_top(spark, f"{tmp_path}/u", 1)
+
+
+@pytest.fixture
+def bucketed(spark, small_dir, tmp_path):
+    claims, registry = star.flagged_fact(spark, small_dir), star.registry(spark, small_dir)
+    twice = registry.union(registry.withColumn("org_name", F.concat(F.lit("~"), "org_name")))
+    write_bucketed(claims, f"{tmp_path}/claims", "npi", 4)
+    write_bucketed(twice, f"{tmp_path}/registry", "npi", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield claims, twice, read_bucketed(spark, f"{tmp_path}/claims"), read_bucketed(spark, f"{tmp_path}/registry")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_registry_join_and_provider_mart_without_a_shuffle(bucketed):
+    claims, registry, their_claims, their_registry = bucketed
+    joined = enrich_colocated(their_claims, their_registry)
+    mart = marts.provider_summary(joined)
+    for df in (joined, mart):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+    want = enrich.enrich(claims, registry)
+    assert sorted(map(str, joined.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, mart.collect())) == sorted(map(str, marts.provider_summary(want).collect()))
+
+
+def test_another_session_registers_the_buckets(spark, tmp_path):
+    df = spark.range(100).selectExpr("cast(id % 9 AS string) AS npi", "id")
+    path = f"{tmp_path}/t"
+    write_bucketed(df, path, "npi", 4)
+    write_bucketed(df.limit(10), path, "npi", 4)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]:
+        spark.sql(f"DROP TABLE {name}")  # the files of an external table stay
+    got = read_bucketed(spark, path)
+    assert got.count() == 10 and current(spark, path).number == 2
+    assert "Exchange" not in got.groupBy("npi").count()._jdf.queryExecution().executedPlan().toString()
+    assert len(glob(f"{path}/__version={current(spark, path).parts['']}/*.parquet")) <= 4
+    with pytest.raises(FileNotFoundError):
+        read_bucketed(spark, f"{tmp_path}/none")
+
+
+def test_a_hot_key_is_told(spark):
+    df = spark.range(300).selectExpr("if(id % 3 = 0, 'HOT', cast(id AS string)) AS npi")
+    assert heaviest_share(df, "npi") == pytest.approx(1 / 3)
+    assert heaviest_share(df.limit(0), "npi") == 0
