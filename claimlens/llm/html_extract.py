@@ -8,8 +8,11 @@
 
 Menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles never count, by
 tag, role, or a word of class or id. Blocks are what block-level tags and line breaks part; white space in a block
-becomes one space, blocks are joined by a line end. Null and empty pages give an empty text; a page without a host
-votes with the pages of no host. Repeated pages each give a row.
+becomes one space, blocks are joined by a line end. Where that leaves nothing at all, as on a page that stands in one
+form or in a container of class ``right-sidebar``, the marked element with most text is taken for layout.
+
+Null and empty pages give an empty text; a page without a host votes with the pages of no host. Repeated pages each give
+a row. Time and memory grow with a page's length, however deep its tags are nested and whatever is left open.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -34,10 +38,17 @@ SPACE = re.compile(r"\s+")
 DIGITS = re.compile(r"\d+")
 VOID = {*"area base br col embed hr img input link meta param source track wbr".split()}
 #: Their content is no markup: it ends at their own end tag alone.
-RAW = {*"script style noscript template textarea title iframe svg math xmp noembed noframes object audio video canvas".split()}
-DROPPED = RAW | {*"head nav header footer aside form button select option dialog menu fieldset label datalist map".split()}
+RAW = {*"script style noscript template textarea title iframe xmp noembed noframes".split()}
+#: What stands in these is shown by other means or not at all. One that closes itself, or that nothing ends, holds nothing.
+EMBEDDED = {*"svg math object audio video canvas".split()}
+DROPPED = RAW | EMBEDDED | {*"head nav header footer aside form button select option dialog menu fieldset label datalist map".split()}
 BLOCK = {*"address article blockquote body br caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()}
 CONTAINER = {*"article body center div main section table tbody td tr blockquote".split()}
+LISTS = {"ul", "ol", "dl"}
+#: Longer paths are told apart by a digest.
+PATH_LETTERS = 400
+#: A container with less than this share of what its parent holds isn't all of an article by itself.
+MOST = 0.75
 HEADING = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Words in a class, an id or a role that mark what is no part of an article.
 ASIDE = re.compile(
@@ -58,15 +69,26 @@ def attributes(source: str) -> dict[str, str]:
 
 
 class Reader:
-    """Reads one page. Gives its blocks, each with the path of the containers that hold it, and the share in links."""
+    """Reads one page. Gives its blocks, each with the innermost container that holds it, and the letters in links.
+
+    Containers are numbered as they are opened, 0 being the page; ``above`` holds the number of each one's parent.
+    ``layout`` numbers start tags that are no part to leave out, whatever marks them.
+    """
 
-    def __init__(self, source: str):
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []
+    def __init__(self, source: str, layout: frozenset[int] = frozenset()):
+        self.blocks: list[tuple[int, str, int]] = []
         self.paths: list[str] = [""]
+        self.above: list[int] = [0]
         self.open: list[tuple[str, int, bool]] = []
-        self.holders: list[int] = []
+        self.holders: list[int] = [0]
+        self.places: dict[str, list[int]] = {}  # of each name, where it is open
+        self.stops: list[int] = []  # where open containers, lists and left-out elements are
+        self.layout, self.tags = layout, 0
+        self.marked: dict[int, int] = {}  # letters left out by the outermost element with a mark, by its start tag
+        self.leaving: int | None = None
         self.dropped = self.links = self.linked = 0
         self.text: list[str] = []
+        unended: set[str] = set()
         at, n = 0, len(source)
         while at < n:
             tag = TOKEN.search(source, at)
@@ -78,9 +100,16 @@ class Reader:
                 name = tag[2].lower()
                 if tag[1]:
                     self.end(name)
-                elif name in RAW:
+                elif name in RAW or name in EMBEDDED:
                     self.cut(name)
-                    at = n if not (end := re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)) else end.end()
+                    alone = name in EMBEDDED and (tag[3].rstrip().endswith("/") or name in unended)
+                    end = None if alone else re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+                    if end:
+                        at = end.end()
+                    elif name in RAW:
+                        at = n
+                    elif not alone:
+                        unended.add(name)
                 else:
                     self.start(name, tag[3])
         self.flush()
@@ -89,12 +118,14 @@ class Reader:
         if text and not self.dropped:
             self.text.append(text)
             self.linked += len(text.strip()) * bool(self.links)
+        elif text and self.leaving is not None and not self.links:
+            self.marked[self.leaving] += len(text.strip())
 
     def flush(self) -> None:
         if self.text:
             said = SPACE.sub(" ", html.unescape("".join(self.text))).strip()
             if said:
-                self.blocks.append((tuple(self.holders), said, self.linked))
+                self.blocks.append((self.holders[-1], said, self.linked))
             self.text = []
         self.linked = 0
 
@@ -111,72 +142,121 @@ class Reader:
         if name in BLOCK or name in DROPPED:
             self.flush()
             self.close_implied(name)
+        self.tags += 1
         found = attributes(source) if "=" in source or "hidden" in source else {}
         marks = " ".join((found.get("class", ""), found.get("id", ""), found.get("role", "")))
-        aside = name in DROPPED or "hidden" in found or found.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", "")))
-        aside = aside or (name not in ("html", "body", "article", "main") and name not in HEADING and bool(ASIDE.search(marks)))
+        unseen = "hidden" in found or found.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", found.get("style", "")))
+        marked = name == "form" or (name not in ("html", "body", "article", "main") and name not in HEADING and bool(ASIDE.search(marks)))
+        aside = unseen or (name in DROPPED and name != "form") or (marked and self.tags not in self.layout)
+        if aside and not self.dropped and marked and not unseen and (name == "form" or name not in DROPPED):
+            self.leaving = self.tags
+            self.marked[self.tags] = 0
         held = name in CONTAINER and not self.dropped and not aside
         if held:
             classes = ".".join(sorted({DIGITS.sub("#", c) for c in found.get("class", "").split()}))
-            above = self.paths[self.holders[-1]] if self.holders else ""
-            self.paths.append(f"{above}/{name}{'.' if classes else ''}{classes}")
+            path = f"{self.paths[self.holders[-1]]}/{name}{'.' if classes else ''}{classes}"
+            if len(path) > PATH_LETTERS:
+                path = f"#{xxhash.xxh3_128_hexdigest(path)}/{name}"
+            self.above.append(self.holders[-1])
+            self.paths.append(path)
             self.holders.append(len(self.paths) - 1)
-        self.open.append((name, 1 if held else 2 if aside else 0, name == "a"))
+        kind = 1 if held else 2 if aside else 0
+        place = len(self.open)
+        self.open.append((name, kind, name == "a"))
+        self.places.setdefault(name, []).append(place)
+        if kind or name in CONTAINER or name in LISTS:
+            self.stops.append(place)
         self.dropped += aside
         self.links += name == "a"
 
     def pop(self) -> None:
         name, kind, link = self.open.pop()
+        self.places[name].pop()
+        if self.stops and self.stops[-1] == len(self.open):
+            self.stops.pop()
         if kind == 1:
             self.holders.pop()
         self.dropped -= kind == 2
+        if not self.dropped:
+            self.leaving = None
         self.links -= link
 
+    def close(self, place: int) -> None:
+        while len(self.open) > place:
+            self.pop()
+
     def close_implied(self, name: str) -> None:
         closed = CLOSES.get(name, set()) | ({"p"} if name not in ("td", "th", "tr") else set())
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] in closed:
-                while len(self.open) > k:
-                    self.pop()
-            elif self.open[k][0] in CONTAINER or self.open[k][0] in ("ul", "ol", "dl") or self.open[k][1]:
+        while (place := max((p[-1] for c in closed if (p := self.places.get(c))), default=-1)) >= 0:
+            if self.stops and self.stops[-1] > place:
                 return
+            self.close(place)
 
     def end(self, name: str) -> None:
         if name in BLOCK or name in DROPPED:
             self.flush()
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.open[k][0] == name:
-                while len(self.open) > k:
-                    self.pop()
-                return
-            if name not in CONTAINER and name not in DROPPED and (self.open[k][0] in CONTAINER or self.open[k][1]):
-                return  # an inline or paragraph end tag reaches no further than its container
+        places = self.places.get(name)
+        if not places:
+            return
+        # An inline or paragraph end tag reaches no further than its container.
+        stop = next((s for s in reversed(self.stops) if self.open[s][1] or self.open[s][0] in CONTAINER), -1)
+        if name in CONTAINER or name in DROPPED or stop <= places[-1]:
+            self.close(places[-1])
 
     def scores(self) -> dict[str, float]:
-        """Each container path's share of the page: its blocks' text without links, half of it for each level further up."""
+        """Each container path's share of the page: its blocks' text without links, and half of what its children score.
+
+        Children that hold an article in several pieces, none of them with most of the text, count in full.
+        """
+        own = [0.0] * len(self.paths)
+        for holder, said, linked in self.blocks:
+            own[holder] += max(0.0, len(said) - 2.0 * linked)
+        whole, largest, below = list(own), [0.0] * len(own), [0.0] * len(own)
+        for k in range(len(own) - 1, 0, -1):  # children come after their parents
+            above = self.above[k]
+            whole[above] += whole[k]
+            largest[above] = max(largest[above], whole[k])
         out: dict[str, float] = {}
-        for holders, said, linked in self.blocks:
-            weight = max(0.0, len(said) - 2.0 * linked)
-            for k in reversed(holders):
-                path = self.paths[k]
-                name = path.rpartition("/")[2].partition(".")[0]
-                out[path] = out.get(path, 0.0) + weight * (2.5 if name in ("article", "main") else 1.0)
-                weight /= 2
+        for k in range(len(own) - 1, 0, -1):
+            score = own[k] + below[k] * (0.5 if largest[k] >= MOST * whole[k] else 1.0)
+            below[self.above[k]] += score
+            if score:
+                name = self.paths[k].rpartition("/")[2].partition(".")[0]
+                out[self.paths[k]] = out.get(self.paths[k], 0.0) + score * (2.5 if name in ("article", "main") else 1.0)
         total = sum(out.values())
         return {p: s / total for p, s in out.items()} if total else {}
 
     def text_of(self, path: str | None) -> str:
         """All blocks in containers of that path; in the whole page without one."""
-        return "\n".join(said for holders, said, _ in self.blocks if path is None or any(self.paths[k] == path for k in holders))
+        inside = [path is None]
+        for above, own in zip(self.above[1:], self.paths[1:]):
+            inside.append(inside[above] or own == path)
+        return "\n".join(said for holder, said, _ in self.blocks if inside[holder])
 
     def best(self, paths: list[str]) -> str | None:
         """The first of the paths that holds text here, else this page's own best."""
-        here = {self.paths[k] for holders, *_ in self.blocks for k in holders}
+        filled = [False] * len(self.paths)
+        for holder, *_ in self.blocks:
+            filled[holder] = True
+        for k in range(len(filled) - 1, 0, -1):
+            filled[self.above[k]] |= filled[k]
+        here = {path for path, held in zip(self.paths, filled) if held and path}
         found = next((p for p in paths if p in here), None)
         own = self.scores()
         return found or max(sorted(own), key=own.get, default=None)
 
 
+def read_page(source: str) -> Reader:
+    """The page as read; where nothing is left of it, with the marked element that holds most taken for layout, and so on."""
+    layout: frozenset[int] = frozenset()
+    while True:
+        page = Reader(source, layout)
+        most = max(page.marked.values(), default=0)
+        if page.blocks or not most:
+            return page
+        layout |= {min(k for k, n in page.marked.items() if n == most)}
+
+
 def host_of(url: Column) -> Column:
     """The url's host in lower case, without port; empty for none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -189,7 +269,7 @@ def votes(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame
         for batch in batches:
             sums: dict[tuple[str, str], list[float]] = {}
             for host, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for path, score in Reader(value.as_py() or "").scores().items():
+                for path, score in read_page(value.as_py() or "").scores().items():
                     kept = sums.setdefault((host, path), [0.0, 0])
                     kept[0] += score
                     kept[1] += 1
@@ -221,7 +301,7 @@ def extract(pages: DataFrame, url: str = "url", source: str = "html", into: str
         for sources, paths in batches:
             texts = []
             for value, own in zip(sources, paths):
-                reader = Reader(value.as_py() or "")
+                reader = read_page(value.as_py() or "")
                 texts.append(reader.text_of(reader.best(own.as_py() or [])))
             yield pa.array(texts, pa.string())
 

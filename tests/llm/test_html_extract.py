@@ -35,6 +35,47 @@ def test_empty_and_broken():
     assert page.text_of(page.best([])) == "\n".join(["word"] * 20000)
 
 
+def text(source):
+    page = html_extract.read_page(source)
+    return page.text_of(page.best([]))
+
+
+@pytest.mark.parametrize("odd", ["<svg class='i'/>", "<math />", "<canvas>", "<video src=x>", "<svg><path d='M0 0'/></svg>", "<object><p>no</p></object>", "<canvas><canvas>"])
+def test_embedded_elements_end_where_they_end(odd):
+    assert text(f"<body><article><p>before</p>{odd}<p>after</p><p>the end</p></article>") == "before\nafter\nthe end"
+
+
+def test_article_in_two_containers():
+    one, two = "first part of it " * 30, "second part of it " * 12
+    assert text(f"<body><div class=page><div class=lead><p>{one}</p></div><div class=more><p>{two}</p></div></div><div class=x>y</div>") == f"{one.strip()}\n{two.strip()}"
+    assert text(f"<body><div class=page><div class=lead><p>{one * 4}</p></div><div class=more><p>{two}</p></div></div>") == (one * 4).strip()
+
+
+@pytest.mark.parametrize("shell", ["<div class='layout right-sidebar'>%s</div>", "<form action=x>%s</form>", "<div class=search-page><form>%s</form></div>"])
+def test_layout_that_looks_like_an_aside(shell):
+    inner = "<nav>menu</nav><div class=post><p>the article itself</p><p>and more of it</p></div><div class=comments><p>short</p></div>"
+    assert text("<body>" + shell % inner) == "the article itself\nand more of it"
+    assert text("<body><p>kept</p>" + shell % inner) == "kept"  # only where nothing else is left
+
+
+@pytest.mark.parametrize("source", [
+    "<b>" * 8000 + "word" + "</i>" * 8000, "<i><div>" + "<b>" * 8000 + "word" + "</i>" * 8000, "<div>" * 8000 + "word" + "</div>" * 8000, "<div>word" * 8000,
+    "<pre>word" * 8000, "<p><b>word" * 8000, "<canvas>word" * 8000, "<ul><li>word" * 8000, "<form>word" * 2000,
+])
+def test_long_and_deep_pages_take_time_by_length(source):
+    import time
+    import tracemalloc
+
+    start = time.process_time()
+    assert "word" in text(source)
+    assert time.process_time() - start < 3
+    tracemalloc.start()
+    html_extract.read_page(source)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+
+
 def test_host_outvotes_a_page(spark):
     """One page's longest container is a block that its host's other pages show to be none of the article."""
     usual = "<body><div class='post p%d'><p>" + "article words here " * 20 + "</p></div><div class=extra><p>short</p></div>"
