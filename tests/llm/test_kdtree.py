@@ -51,3 +51,51 @@ def test_rows_nulls_lengths_and_ties(spark, monkeypatch):
     assert kdtree_topk.top_k(df.limit(0), F.lit(True)).count() == 0
     twice = df.where("vec_id < 3").union(df.where("vec_id < 3"))
     assert kdtree_topk.top_k(twice, F.col("vec_id") == 0, 9).count() == 4
+
+
+def test_an_id_and_a_vector_of_a_third_of_all_rows(spark, monkeypatch):
+    """They are dealt to several shards, and no row is lost."""
+    monkeypatch.setattr(kdtree_topk, "SHARD_ROWS", 30)
+    monkeypatch.setattr(kdtree_topk, "QUERY_ROWS", 5)
+    rng = random.Random(3)
+    rows = [(7, [1.0, 0.5])] * 100 + [(k, [rng.choice([-1.0, 0.25, 0.75]), rng.random()]) for k in range(200)]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id long, embedding array<double>, row int")
+    sizes = []
+    tree_of = kdtree_topk._dealt
+    monkeypatch.setattr(kdtree_topk, "_dealt", lambda rows, size, into: sizes.append((size, rows, into)) or tree_of(rows, size, into))
+    got = sorted(tuple(r) for r in kdtree_topk.top_k(df, F.col("vec_id") % 40 == 0, 6).collect())
+    assert got == brute([(i, [int(np.floor(64 * c)) for c in x]) for i, x in rows], lambda i: i % 40 == 0, 6)
+    dealt = tree_of(sizes[0][1], 30, "shard").collect()
+    assert sum(r.shards for r in dealt) >= 10 and max(r.shards for r in dealt) >= 4
+
+
+def test_few_trees_meet_few_blocks_where_vectors_cluster(spark, monkeypatch):
+    monkeypatch.setattr(kdtree_topk, "SHARD_ROWS", 50)
+    monkeypatch.setattr(kdtree_topk, "QUERY_ROWS", 10)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 4, (20, 6))
+    rows = [(k, (centres[k % 20] + rng.normal(0, 0.05, 6)).tolist()) for k in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    seen = {}
+    meet = kdtree_topk.meetings
+
+    def watched(blocks, trees, shards):
+        out = meet(blocks, trees, shards)
+        seen["of"], seen["all"] = out.count(), blocks.count() * trees.count()
+        return out
+
+    monkeypatch.setattr(kdtree_topk, "meetings", watched)
+    got = sorted(tuple(r) for r in kdtree_topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect())
+    assert got == brute([(i, [int(np.floor(64 * c)) for c in x]) for i, x in rows], lambda i: i % 50 == 0, 5)
+    assert seen["all"] > 300 and seen["of"] < 0.2 * seen["all"]
+
+
+def test_splits_part_the_space():
+    rng = np.random.default_rng(6)
+    vectors = rng.integers(-50, 50, (4000, 3))
+    axis, at = kdtree_topk.splits(vectors, 16)
+    region = kdtree_topk.region_of(vectors, axis, at)
+    counts = np.unique(region, return_counts=True)[1]
+    assert len(counts) == 16 and counts.max() < 2 * counts.min()
+    same = np.ones((100, 3), np.int64)
+    assert kdtree_topk.region_of(same, *kdtree_topk.splits(same, 8)).max() == 0
