@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import operator
+import warnings
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -150,7 +151,12 @@ def held_out(id: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", length: str = "n_chars", label: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """A model from at most ``sample`` labelled rows outside the held-out fold; the labels' rows, then the texts', in order of a hash."""
+    """A model from at most ``sample`` labelled rows outside the held-out fold; the labels' rows, then the texts', in order of a hash.
+
+    Labels of documents that aren't there are passed over before any is drawn. None where no label is left.
+    """
+    there = docs.select(F.col(id).alias("__there"))
+    labels = labels.select(id, label).join(there, F.col(id) == F.col("__there"), "left_semi")
     known = labels.where(F.col(id).isNotNull() & F.col(label).isin(0, 1) & ~held_out(id)).groupBy(id).agg(F.max(label).alias("__y"))
     chosen = known.orderBy(F.xxhash64(id), id).limit(sample).toArrow()
     few = docs.sparkSession.createDataFrame(chosen).withColumnRenamed(id, "__id")
@@ -183,8 +189,11 @@ def scored(docs: DataFrame, model: Model | None, text: str = "text", length: str
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without those scored below one half."""
-    return scored(docs, train(docs, labels), into="__score").where("__score >= 0.5").drop("__score")
+    """docs without those scored below one half; a warning, and all of docs, where no labelled document tells what is good."""
+    model = train(docs, labels)
+    if model is None:
+        warnings.warn("no document is labelled: none is rejected", stacklevel=2)
+    return scored(docs, model, into="__score").where("__score >= 0.5").drop("__score")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

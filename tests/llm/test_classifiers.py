@@ -103,3 +103,22 @@ def test_language_learns_from_no_held_out_row(spark):
     other = d.withColumn("lang", F.when(lang_id.held_out(), F.lit("zz")).otherwise(F.col("lang"))).withColumn("text", F.when(lang_id.held_out(), F.lit("qq ww")).otherwise(F.col("text")))
     a, b = lang_id.train(d), lang_id.train(other)
     assert a.languages == b.languages and (a.idf == b.idf).all() and (a.weights == b.weights).all()
+
+
+def test_labels_of_absent_documents_do_not_crowd_out_the_others(spark):
+    """More labels than the sample takes, nearly all of documents that aren't there."""
+    docs = spark.range(200).selectExpr("id AS doc_id", "if(id % 2 = 0, 'good words in a row, and more.', '### $$$ ### $$$') AS text", "30 AS n_chars")
+    labels = spark.range(-50_000, 200).selectExpr("id AS doc_id", "cast(id % 2 = 0 AS int) AS quality")
+    model = quality_fm.train(docs, labels, sample=150)
+    assert model is not None
+    kept = {r.doc_id for r in quality_fm.keep_good(docs, labels).collect()}
+    assert kept == set(range(0, 200, 2))
+    with pytest.warns(UserWarning, match="none is rejected"):
+        assert quality_fm.keep_good(docs, labels.where("doc_id < 0")).count() == 200
+
+
+def test_held_out_rows_of_the_table(spark, small_dir):
+    """Labelled documents that weren't learnt from, on the given table."""
+    labels = spark.read.parquet(f"{small_dir}/labels.parquet")
+    met = quality_fm.op3_quality(spark, small_dir).where("held_out").join(labels, "doc_id").collect()
+    assert len(met) > 5 and sum(r.predicted == r.quality for r in met) >= 0.9 * len(met)
