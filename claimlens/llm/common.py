@@ -15,10 +15,15 @@ BROADCAST_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; where unset, as in tests, an own one."""
+    """The folder all executors share: ``spark.checkpoint.dir``; where unset, on one machine as in tests, an own one.
+
+    On a cluster an own folder would be another one on each machine, so there the setting has to be made.
+    """
     sc = spark.sparkContext
     place = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not place:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         place = tempfile.mkdtemp(prefix="claimlens-")
         atexit.register(shutil.rmtree, place, ignore_errors=True)
         sc.setCheckpointDir(place)

@@ -2,7 +2,8 @@
 
 Each round links every node's greater neighbours to its least one, then the rest likewise; the number of rounds grows
 with the logarithm of a component's size. A round ends in a written table, so lost executors cost one round at most.
-A node with very many links stays splittable: a round only aggregates by node and joins the result back.
+A node with very many links stays splittable: a round aggregates by node, combined before the shuffle, and joins the
+result back on the node and a hash of it, so that both sides are shuffled for the join and AQE may split a node's links.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         near = edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
     least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    met = near.join(least, "u")
+    own = least.withColumnRenamed("u", "least_of")
+    met = near.join(own, (F.col("u") == F.col("least_of")) & (F.xxhash64("u") == F.xxhash64("least_of")))
     if large:
         return met.where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b")).where("a < b").distinct()
     out = met.where("v > m").select(F.col("m").alias("a"), F.col("v").alias("b"))

@@ -27,10 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
-from pyspark.sql.window import Window
+from pyspark.sql.types import LongType
 
-from claimlens.llm import shingles
 from claimlens.llm.common import stored, table
 from claimlens.llm.components import components
 
@@ -40,8 +38,6 @@ MAX_BITS = 2
 WIDTHS = (11, 11, 11, 11, 10, 10)
 REFERENCES = 8
 CROWD = 64
-#: Rounds of comparing with one node of each key before all pairs that are left, in one_of_each.
-ROUNDS = 2
 #: Shingles hashed at a time.
 SLICE = 1 << 15
 
@@ -146,96 +142,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     return marked.join(classes, "fingerprint").select(F.col("id").alias(id), "fingerprint", "component_id")
 
 
-@F.arrow_udf(StructType([StructField("node", LongType()), StructField("n", IntegerType()), StructField("fingerprint", LongType()), StructField("keys", ArrayType(LongType()))]))
-def _sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-    for batch in batches:
-        rows = []
-        for x in batch:
-            text = x.as_py() or b""
-            held = shingles.shingle_set(text)
-            node, bits = (int(np.uint64(v).astype(np.int64)) for v in (xxhash.xxh3_64_intdigest(held.tobytes()), fingerprint_bits(text)))
-            rows.append((node, len(held), bits, shingles.band_keys(held)))
-        yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["node", "n", "fingerprint", "keys"])
-
-
-@F.arrow_udf(BinaryType())
-def _sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
-        yield pa.array([shingles.shingle_set(x.as_py() or b"").tobytes() for x in batch], pa.binary())
-
-
-def _keyed(nodes: DataFrame) -> DataFrame:
-    """(key, whole, node, n) for keys of several nodes: those of the bands, and the component by SimHash, which isn't whole."""
-    classes = stored(components(links(nodes.select("fingerprint").distinct())).withColumnsRenamed({"node": "bits"}), "near-simhash")
-    near = nodes.join(classes, nodes.fingerprint == classes.bits).select(F.xxhash64(F.lit("simhash"), "root").alias("key"), F.lit(False).alias("whole"), "node", "n")
-    keyed = stored(nodes.select(F.explode("keys").alias("key"), F.lit(True).alias("whole"), "node", "n").union(near), "near-all-keys")
-    several = stored(keyed.groupBy("key").count().where("count > 1").select("key"), "near-several")
-    return stored(keyed.join(several, "key"), "near-keys")
-
-
-def _copies(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, root): components of the nodes whose sets are alike; nodes that are like no other are left out.
-
-    In each round a node of each key is held against the key's other nodes that aren't linked to it yet; that links a
-    group of copies without pairing all of them off. The last round takes all pairs that are left.
-    """
-    keyed = _keyed(nodes)
-    asked = stored(keyed.select("node").distinct().join(nodes.select("node", "h1", "h2"), "node").withColumnsRenamed({"h1": "a1", "h2": "a2"}), "near-asked")
-    once = texts.join(asked, (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2"))).select("node", "text").dropDuplicates(["node"])
-    sets = stored(once.select("node", _sets.asNondeterministic()("text").alias("held")), "near-sets")
-    least, most = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    none = keyed.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    edges, tested, roots = none, none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    for turn in range(ROUNDS + 1):
-        marked = keyed.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        marked = stored(marked, "near-marked")
-        open_ = marked.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min_by(F.struct("node", "n", "root"), F.xxhash64("key", "node", F.lit(turn))).alias("lead"))
-        open_ = stored(open_.where("r1 <> r2").select("key", "lead.*"), "near-open")
-        if turn < ROUNDS:
-            met = marked.alias("y").join(open_.alias("x"), "key")
-        else:
-            left = stored(marked.where("whole").join(open_.select("key"), "key", "left_semi"), "near-left")
-            met = left.alias("x").join(left.alias("y"), "key").where("x.node < y.node")
-        met = met.where("x.root <> y.root").where(least * shingles.ALIKE[1] >= most * shingles.ALIKE[0])
-        pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        if pairs.isEmpty():
-            continue
-        first = sets.withColumnsRenamed({"node": "a", "held": "left"})
-        second = sets.withColumnsRenamed({"node": "b", "held": "right"})
-        held = pairs.join(first, "a").join(second, "b").select("a", "b", shingles.are_alike.asNondeterministic()("left", "right").alias("alike"))
-        held = stored(held, "near-held")
-        tested, found = tested.union(held.select("a", "b")), held.where("alike").select("a", "b")
-        if not found.isEmpty():
-            edges = edges.union(found)
-            roots = stored(components(edges), "near-roots")
-    return roots
-
-
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with one row of each group of texts that are alike (``shingles.py``), be it by way of others.
+    """docs with one row of each component of fingerprints, that of the smallest id.
 
-    It is the row of the smallest id; of rows that share this, that of the least text. Pairs to compare come from shared
-    MinHash keys and from components by SimHash; what links two texts is the likeness of their sets alone.
+    Of rows that share this id and its fingerprint, the one of the least text stays, and of equal texts one. Rows without
+    an id stay only where none of their component has one.
     """
-    value = F.col(text).cast("string").cast("binary")
-    h1, h2 = F.xxhash64(value).alias("h1"), F.xxhash64(F.lit("text"), value).alias("h2")
-    sketched = docs.select(docs[id].alias("id"), h1, h2, _sketch.asNondeterministic()(value).alias("s"))
-    marked = stored(sketched.select("id", "h1", "h2", "s.*"), "near-rows")
-    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("least")
-    # All firsts of a node come from the same row, whichever that is.
-    firsts = F.min(F.struct("h1", "h2", "n", "fingerprint", "keys")).alias("f")
-    nodes = stored(marked.groupBy("node").agg(least, firsts).select("node", "least", "f.*"), "near-nodes")
-    roots = _copies(nodes, docs.select(h1, h2, value.alias("text"))).withColumnsRenamed({"node": "of"})
-    grouped = nodes.select("node", "least").join(roots, F.col("node") == F.col("of"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    named = stored(grouped.groupBy("root").agg(F.min(F.struct("least.none", "least.id", "node")).alias("m")).select("m.id", "m.node"), "near-named")
-    named = named.withColumnsRenamed({"id": "__id", "node": "__node"})
-    kept = marked.join(named, (marked.node == F.col("__node")) & marked.id.eqNullSafe(F.col("__id"))).select("__id", "__node", F.col("h1").alias("__h1"), F.col("h2").alias("__h2")).distinct()
-    kept = stored(kept, "near-kept")
-    met = docs.join(kept, (h1 == F.col("__h1")) & (h2 == F.col("__h2")) & docs[id].eqNullSafe(F.col("__id")))
-    first = Window.partitionBy("__id", "__node").orderBy(F.col(text).asc_nulls_last())
-    return met.withColumn("__first", F.row_number().over(first)).where("__first = 1").select(docs.columns)
+    marked = fingerprints(docs.select(docs[id].alias("id"), docs[text].alias("t")), "t").drop("t")
+    classes = _classes(stored(marked, "simhash-ids")).withColumnsRenamed({"fingerprint": "__bits", "id": "__id", "of": "__of"})
+    named = classes.where(F.col("__bits") == F.col("__of")).select("__id", "__of")
+    met = fingerprints(docs.select(F.struct(*docs.columns).alias("row"), docs[text].alias("t"), docs[id].alias("id")), "t", "bits")
+    met = met.join(named, (F.col("bits") == F.col("__of")) & F.col("id").eqNullSafe(F.col("__id")))
+    order = F.struct(F.col("t").isNull(), "t", F.xxhash64("row"))
+    return met.groupBy("bits").agg(F.min_by("row", order).alias("row")).select("row.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

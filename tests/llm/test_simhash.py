@@ -2,9 +2,10 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 import xxhash
 
-from claimlens.llm import simhash
+from claimlens.llm import common, components, simhash
 
 
 def plain(text):
@@ -90,56 +91,53 @@ def test_query_equals_brute_force(spark, small_dir):
     assert {tuple(r) for r in simhash.op10_simhash(spark, small_dir).collect()} == want
 
 
-def shingles_of(text, n=5):
-    w = (text or "").lower().split()
-    return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
-
-
-def kept_by_brute_force(rows):
-    """Least id of each component of texts whose five-word sets have a similarity of 0.8 at least."""
-    sets, root = [shingles_of(t) for _, t in rows], list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a, b in combinations(range(len(rows)), 2):
-        x, y = sets[a], sets[b]
-        if x == y or 5 * len(x & y) >= 4 * len(x | y):
-            a, b = sorted((find(a), find(b)))
-            root[b] = a
-    return {rows[i][0] for i in range(len(rows)) if root[i] == i}
-
-
-def edited_copies():
-    """Texts with copies of a similarity around 0.8, a group of copies of copies, a shared passage, a common line."""
-    rng = random.Random(6)
-    word = lambda: f"w{rng.randrange(5000)}"
-    texts, passage = [], [word() for _ in range(60)]
-    for n in [12, 40, 150, 300, 600] * 12:
-        words = [word() for _ in range(n)]
-        texts.append(words)
-        for share in (0.005, 0.02, 0.03):
-            other = list(words)
-            for at in rng.sample(range(n), max(1, int(share * n))):
-                other[at] = word()
-            texts.append(other)
-    words = [word() for _ in range(200)]
-    for _ in range(60):
-        words = list(words)
-        words[rng.randrange(200)] = word()
-        texts.append(words)
-    texts += [passage + [word() for _ in range(30)] for _ in range(40)]
-    texts += [["the", "common", "line", "of", "all", "pages"] * 80 + [word() for _ in range(30)] for _ in range(20)]
-    rng.shuffle(texts)
-    return [(i, " ".join(t)) for i, t in enumerate(texts)]
-
-
-def test_one_of_each_finds_edited_copies(spark):
-    rows = edited_copies()
-    want = kept_by_brute_force(rows)
-    bits = [simhash.fingerprint_bits(t.encode()) for _, t in rows]
-    assert len(want) < len({*brute(bits)}) - 30  # two bits of SimHash miss most of them
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == want
+def test_one_of_each_equals_brute_force(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    rows = docs.orderBy("doc_id").collect()
+    want = sorted((tuple(rows[k]) for k in {*brute([plain(d.text) for d in rows])}), key=str)
+    assert sorted(map(tuple, simhash.one_of_each(docs).collect()), key=str) == want and len(want) < len(rows)
+
+
+def test_one_of_each_of_rows_that_share_an_id(spark):
+    rows = [(5, "b same words here", "x"), (5, "b same words here", "y"), (5, None, "n"), (5, "", "e"), (None, "b same words here", "z"), (None, "alone in this one", "w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    got = {(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()}
+    assert got == {(5, "b same words here"), (5, ""), (None, "alone in this one")} and simhash.one_of_each(docs).count() == 3
+
+
+def test_a_node_of_very_many_links_is_split(spark, monkeypatch):
+    """Links of one node make a third of all and more: AQE parts them in a round's join."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        star = spark.range(1, 60_000).selectExpr("if(id % 2 = 0, 0, id - 1) AS a", "id AS b")
+        once = components._star(star, True)
+        assert len(once.collect()) == 59_999
+        assert "skew=true" in once._jdf.queryExecution().executedPlan().toString()
+        found = components.components(star)
+        assert found.where("root = 0").count() == 60_000 == found.count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Session())
