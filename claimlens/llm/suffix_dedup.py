@@ -28,6 +28,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,10 @@ LENGTH = 400
 #: as ``suffixes.py`` takes them.
 WORDS = 51
 WORD_BYTES = 8
-#: Of longer runs without a space, as in scripts that have none, each letter is a word.
-LONGEST = 64
 WORD = re.compile(rb"\S+")
+#: Scripts written without spaces between words: each of their letters is a word. A fixed list of Unicode's scripts.
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Bopomofo}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}\p{Tai_Tham}\p{Javanese}\p{Balinese}"
+IN_RUN = regex.compile(f"[{UNSPACED}]|[^{UNSPACED}]+")
 BINS = 4
 CROWD = 256
 #: Windows in one of the finer bins of a crowded core.
@@ -280,14 +282,14 @@ def whole_letters(text: bytes, spans: list[list[int]]) -> list[list[int]]:
 
 
 def word_bounds(text: bytes) -> list[tuple[int, int]]:
-    """Start and end of each word."""
+    """Start and end of each word: a run without white space, however long; in scripts that have no spaces, each letter."""
+    if not text or max(text) < 0xE0:  # no such script has letters of fewer than three bytes
+        return [m.span() for m in WORD.finditer(text)]
     out = []
     for m in WORD.finditer(text):
-        if m.end() - m.start() <= LONGEST:
-            out.append(m.span())
-        else:
-            letters = [k for k in range(*m.span()) if text[k] & 0xC0 != 0x80]
-            out += zip(letters, [*letters[1:], m.end()])
+        at = m.start()
+        for part in IN_RUN.findall(m[0].decode()):
+            out.append((at, at := at + len(part.encode())))
     return out
 
 
@@ -360,19 +362,26 @@ def without_repeated_words(docs: DataFrame, text: str = "text", words: int = WOR
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: bytes, removed bytes and runs, and the digest of what is kept."""
+    """Per document: bytes, removed bytes and runs, the digest of what is kept, its size, and what is kept in whole letters."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kinds = {"removed": pa.int64(), "spans": pa.int64(), "sha": pa.string(), "kept": pa.string()}
 
-    @F.arrow_udf("struct<removed: bigint, spans: bigint, sha: string>")
+    @F.arrow_udf("struct<removed: bigint, spans: bigint, sha: string, kept: string>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
             rows = []
             for t, s in zip(texts, spans):
                 raw = t.as_py() or b""
                 runs = covered(s.as_py() or [], LENGTH)
-                rows.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest()))
-            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.string()))], ["removed", "spans", "sha"])
+                kept = cut(raw, whole_letters(raw, runs)).decode()
+                rows.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest(), kept))
+            yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], [*kinds])
 
     raw = F.col("text").cast("binary")
-    out = with_spans(docs).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), run.asNondeterministic()(raw, F.col("removed")).alias("r"))
-    return out.select("doc_id", "n_bytes", F.col("r.removed").alias("n_removed"), F.col("r.spans").alias("n_spans"), F.col("r.sha").alias("kept_sha256"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    out = with_spans(docs).select("doc_id", size.alias("n_bytes"), run.asNondeterministic()(raw, F.col("removed")).alias("r"))
+    return out.select(
+        "doc_id", "n_bytes",
+        F.col("r.removed").alias("n_removed"), F.col("r.spans").alias("n_spans"), F.col("r.sha").alias("kept_sha256"),
+        (F.col("n_bytes") - F.col("r.removed")).alias("n_kept"), F.col("r.kept").alias("text"),
+    )
