@@ -21,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word similarity of 0.8 at least), the one of the smallest id."""
+    """One document of each group that SimHash links (three-word shingles, two bits at most), the one of the smallest id."""
     return simhash.one_of_each(docs)
 
 
