@@ -3,11 +3,15 @@
 A phrase is frequent if it occurs ``MIN_COUNT`` times or more in its language. All words are counted in a first pass, and
 of a sample of pieces all longer phrases. The frequent words and the phrases that the sample proposes (``PROPOSED``
 occurrences in it) are written into a bitmap by their hash, of ``FILTER_BITS`` bits whatever the corpus. The full pass
-counts, exactly and by their text, all phrases whose first words and whose last words, one less each, are in the bitmap:
-the proposed ones and their negative border. A frequent phrase that isn't in the bitmap is a border failure: it goes into
-the bitmap, and an expansion pass counts the phrases that this adds to the border, until no pass fails. Each phrase is
-counted in one pass, whole; sample and bitmap decide in which one only. Two phrases on one bit make the border larger and
-nothing else.
+counts all phrases whose first words and whose last words, one less each, are in the bitmap: the proposed ones and their
+negative border. A frequent phrase that isn't in the bitmap is a border failure: it goes into the bitmap, and an expansion
+pass counts what this adds to the border. It takes all that it adds as if it were frequent, so that extensions of
+extensions are counted with them and the next look finds the border closed.
+
+What is shuffled for a phrase is a hash of all its words but the last and a hash of the last; its text is put together from
+those of frequent phrases when all is counted. Hashes have 64 bits and are of language and words. Words are known by text,
+and all phrases in the bitmap by their two hashes: should two of them share one, all is counted anew under another seed.
+Sample and bitmap settle which phrases are counted, never how often.
 
 A null language is ``und``; null and empty texts have no words; repeated rows count as often as they stand there. Tasks
 hold a slice of text at a time, and their counts are combined before they are shuffled.
@@ -24,10 +28,11 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from claimlens.llm.common import stored, table
-from claimlens.llm.cutting import SLICE_BYTES, binaries, buffer_of, slices
+from claimlens.llm.cutting import binaries, buffer_of, slices
 
 MIN_COUNT = 100
 LONGEST = 5
@@ -37,13 +42,14 @@ SCALE = 1000
 SHARE = 100
 #: One piece in so many is in the sample; a phrase that occurs so often in it is proposed.
 SAMPLE_EVERY = 16
-PROPOSED = 3
+PROPOSED = 2
 FILTER_BITS = 26
 NO_LANGUAGE = "und"
 BREAKS = b".,;:!?\n\v\f\r"
 BLANKS = b" \t"
 MIXER = np.uint64(0x9E3779B97F4A7C15)
-COLUMNS = "lang string, k int, phrase string, h long, known boolean, n long"
+#: Bytes of text handled at a time.
+SLICE_BYTES = 1 << 20
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -51,6 +57,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))) * MIXER
 
 
+def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hash of a phrase from those of all its words but the last and of the last."""
+    return _mixed(hashes * MIXER + last)
+
+
 class _Words:
     """The words of some texts in lower case: the distinct ones, each occurrence's place among them, and its piece."""
 
@@ -59,7 +70,7 @@ class _Words:
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
 
-    def __init__(self, texts: pa.Array, lang: str):
+    def __init__(self, texts: pa.Array, lang: str, seed: int = 0):
         data, at = buffer_of(texts)
         edge = np.zeros(len(data) + 1, bool)
         edge[at[:-1]] = True
@@ -72,87 +83,95 @@ class _Words:
         letters = self.lower[data[inside]]
         found = binaries(letters, np.append(np.cumsum(inside)[begins] - 1, len(letters))).dictionary_encode()
         self.words, self.index, self.lang = found.dictionary, found.indices.to_numpy().astype(np.int64), lang
-        own = np.uint64(xxhash.xxh64_intdigest(lang))
-        self.hash = _mixed(np.fromiter((xxhash.xxh64_intdigest(w) for w in self.words.to_pylist()), np.uint64, len(self.words)) ^ own)
+        own = np.uint64(xxhash.xxh64_intdigest(lang, 2 * seed + 1))  # another seed than the words', which may be a language's name
+        self.hash = _mixed(np.fromiter((xxhash.xxh64_intdigest(w, 2 * seed) for w in self.words.to_pylist()), np.uint64, len(self.words)) ^ own)
         self.n_bytes = len(data)
 
-    def longer(self, hashes: np.ndarray, k: int) -> np.ndarray:
-        """The hash of the k words from each word on, from those of k - 1 words; the last k - 1 words have none."""
-        return _mixed(hashes[:-1] * MIXER + self.hash[self.index[k - 1 :]])
-
     def within(self, k: int) -> np.ndarray:
         """Whether k words from each word on lie in one piece."""
         return self.piece[: max(0, len(self.piece) - k + 1)] == self.piece[k - 1 :]
 
-    def rows(self, k: int, first: np.ndarray, hashes: np.ndarray, known: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        """Counted phrases of k words, each given by where it stands."""
-        parts = [self.words.take(pa.array(self.index[first + j])) for j in range(k)]
-        phrases = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if k > 1 else parts[0]
-        return _batch(self.lang, k, phrases.cast(pa.string()), hashes, known, n)
 
-
-def _batch(lang: str, k: int, phrases: pa.Array, hashes: np.ndarray, known: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    size = len(n)
-    columns = [pa.repeat(pa.scalar(lang, pa.string()), size), pa.repeat(pa.scalar(k, pa.int32()), size), phrases, pa.array(hashes.view(np.int64)), pa.array(known), pa.array(n)]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "k", "phrase", "h", "known", "n"])
-
-
-def _by_language(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[_Words]:
+def _by_language(batches: Iterable[pa.RecordBatch], limit: int, seed: int) -> Iterator[_Words]:
     for batch in batches:
         coded = batch.column(0).dictionary_encode()
         for place, lang in enumerate(coded.dictionary.to_pylist()):
             for part in slices(batch.column(1).filter(pc.equal(coded.indices, place)), limit):
-                words = _Words(part, lang)
+                words = _Words(part, lang, seed)
                 if len(words.index):
                     yield words
 
 
-def _words_and_sample(batches: Iterable[pa.RecordBatch], every: int = SAMPLE_EVERY, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """All words with their counts, and the hashes of longer phrases in the sample's pieces with theirs."""
-    for words in _by_language(batches, limit):
+def _words_and_sample(batches: Iterable[pa.RecordBatch], every: int = SAMPLE_EVERY, limit: int = SLICE_BYTES, seed: int = 0) -> Iterator[pa.RecordBatch]:
+    """All words with their counts, and of longer phrases in the sample's pieces the hashes with theirs."""
+    for words in _by_language(batches, limit, seed):
         n = np.bincount(words.index, minlength=len(words.words))
-        yield _batch(words.lang, 1, words.words.cast(pa.string()), words.hash, np.zeros(len(n), bool), n)
+        yield _batch(lang=pa.repeat(pa.scalar(words.lang, pa.string()), len(n)), phrase=words.words.cast(pa.string()), h=_signed(words.hash), n=n)
         drawn = _mixed(words.piece.astype(np.uint64) + np.uint64(words.n_bytes)) % np.uint64(every) == 0
         hashes = words.hash[words.index]
         for k in range(2, LONGEST + 1):
             if len(hashes) < 2:
                 break
-            hashes = words.longer(hashes, k)
+            hashes = _longer(hashes[:-1], words.hash[words.index[k - 1 :]])
             taken, n = np.unique(hashes[words.within(k) & drawn[: len(hashes)]], return_counts=True)
-            yield _batch(words.lang, k, pa.nulls(len(n), pa.string()), taken, np.zeros(len(n), bool), n)
+            yield _batch(lang=pa.nulls(len(n), pa.string()), phrase=pa.nulls(len(n), pa.string()), h=_signed(taken), n=n)
 
 
-def _border(words: _Words, bits: np.ndarray, before: np.ndarray | None) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases whose both parts are in the bitmap, without those whose parts were in the one before."""
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(hashes.view(np.int64))
 
-    def held(hashes: np.ndarray, filled: np.ndarray) -> np.ndarray:
-        return filled[(hashes >> np.uint64(65 - len(filled).bit_length())).astype(np.int64)]
 
-    hashes, ids = words.hash[words.index], words.index
-    inside = held(words.hash, bits)[words.index]
-    old = held(words.hash, before)[words.index] if before is not None else None
+def _batch(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({name: c if isinstance(c, pa.Array) else pa.array(c) for name, c in columns.items()})
+
+
+def _held(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes have their bit set in a bitmap."""
+    slots = (hashes >> np.uint64(60 - len(bits).bit_length())).astype(np.int64)
+    return (bits[slots >> 5] >> (slots & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
+def _border(words: _Words, bits: np.ndarray, before: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases whose both parts are in the bitmap, given by the hash ``p`` of all words but the last and ``w`` of the last.
+
+    A part counts as being there only if its own parts are: what is in the bitmap by chance is passed over mostly. With the
+    bitmap of the pass ``before``, phrases counted then are left out, and what is counted now is taken for being there.
+    """
+    own = words.hash[words.index]
+    hashes, now = own, _held(words.hash, bits)[words.index]
+    then = None if before is None else _held(words.hash, before)[words.index]
     for k in range(2, LONGEST + 1):
         if len(hashes) < 2:
             return
-        hashes, last = words.longer(hashes, k), words.index[k - 1 :]
-        whole = words.within(k)
-        now = inside[:-1] & inside[1:] & whole
-        places = np.flatnonzero(now)
-        if not len(places):
-            return
-        _, first, own, n = np.unique(ids[places] * len(words.words) + last[places], return_index=True, return_inverse=True, return_counts=True)
-        first = places[first]
-        ids = np.zeros(len(hashes), np.int64)
-        ids[places] = own
-        known = held(hashes[first], bits)
-        inside = np.zeros(len(hashes), bool)
-        inside[places] = known[own]
-        new = np.ones(len(first), bool)
-        if old is not None:
-            then = old[:-1] & old[1:] & whole
-            new = ~then[first]
-            old = then & held(hashes, before)
-        yield words.rows(k, first[new], hashes[first[new]], known[new], n[new])
+        within, above, last = words.within(k), hashes[:-1], own[k - 1 :]
+        both = new = now[:-1] & now[1:] & within
+        if then is not None:
+            then = then[:-1] & then[1:] & within
+            new = both & ~then
+        hashes = _longer(above, last)
+        places = np.flatnonzero(new)
+        p, w = above[places], last[places]
+        order = np.lexsort((w, p))
+        p, w = p[order], w[order]
+        first = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (w[1:] != w[:-1]))) if len(p) else places
+        n = np.diff(np.append(first, len(p)))
+        p, w = p[first], w[first]
+        known = _held(_longer(p, w), bits) if before is None else np.ones(len(n), bool)
+        if len(n):
+            yield _batch(k=np.full(len(n), k, np.int32), p=_signed(p), w=_signed(w), known=known, n=n)
+        now = both.copy()
+        now[both] = _held(hashes[both], bits)
+        if then is not None:
+            now |= new
+            held = then.copy()
+            held[then] = _held(hashes[then], before)
+            then = held
+
+
+@F.arrow_udf(LongType())
+def _hash_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for p, w in batches:
+        yield _signed(_longer(p.to_numpy().view(np.uint64), w.to_numpy().view(np.uint64)))
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -164,43 +183,66 @@ def _bitmap(hashes: DataFrame) -> np.ndarray:
     return out
 
 
-def _unpacked(bitmap: np.ndarray) -> np.ndarray:
-    return np.unpackbits(bitmap.view(np.uint8), bitorder="little").view(bool)
-
-
 def _read(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(F.coalesce(docs[lang].cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
 
 
-def _summed(read: DataFrame, run) -> DataFrame:
-    return read.mapInArrow(run, COLUMNS).groupBy("lang", "k", "phrase", "h", "known").agg(F.sum("n").alias("n"))
+def _summed(read: DataFrame, run, schema: str) -> DataFrame:
+    """What a pass counts, summed over all tasks."""
+    counted = read.mapInArrow(run, f"{schema}, n long")
+    return counted.groupBy(*(c for c in counted.columns if c != "n")).agg(F.sum("n").alias("n"))
 
 
-def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", minimum: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
-    """All frequent phrases of 1 to LONGEST words (lang, k, phrase, f), and the number of words by language (lang, n)."""
-    read, sc = _read(docs, text, lang), docs.sparkSession.sparkContext
-    limit = SLICE_BYTES
-    drawn = _summed(read, partial(_words_and_sample, every=SAMPLE_EVERY, limit=limit))
-    drawn = stored(drawn.where((F.col("k") == 1) | (F.col("n") >= PROPOSED)), "phrases-words")
-    totals = stored(drawn.where("k = 1").groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
-    words = drawn.where("k = 1").where(F.col("n") >= minimum)
-    bits, before = _bitmap(words.select("h").union(drawn.where("k > 1").select("h"))), None
-    found = words.select("lang", "k", "phrase", F.col("n").alias("f"))
-    while True:
-        sent = sc.broadcast((bits, before))
+def _pass(read: DataFrame, seed: int, bits: np.ndarray, before: np.ndarray | None) -> DataFrame:
+    """A pass over all words with a bitmap, and that of the pass before."""
+    sent, limit = read.sparkSession.sparkContext.broadcast((bits, before)), SLICE_BYTES
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _by_language(batches, limit, seed):
+            yield from _border(words, *sent.value)
+
+    return _summed(read, run, "k int, p long, w long, known boolean")
 
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, then = sent.value
-            now, then = _unpacked(now), None if then is None else _unpacked(then)
-            for part in _by_language(batches, limit):
-                yield from _border(part, now, then)
 
-        counted = stored(_summed(read, run).where(F.col("n") >= minimum), "phrases-counted")
-        found = found.union(counted.select("lang", "k", "phrase", F.col("n").alias("f")))
-        failed = counted.where(~F.col("known")).where(F.col("k") < LONGEST)
+def _shared(hashes: DataFrame) -> bool:
+    """Whether two rows share their hash."""
+    return not hashes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", minimum: int = MIN_COUNT, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """All frequent phrases of 1 to LONGEST words (lang, k, phrase, f), and the number of words by language (lang, n)."""
+    read = _read(docs, text, lang)
+    drawn = _summed(read, partial(_words_and_sample, every=SAMPLE_EVERY, limit=SLICE_BYTES, seed=seed), "lang string, phrase string, h long")
+    drawn = stored(drawn.where(F.col("phrase").isNotNull() | (F.col("n") >= PROPOSED)), "phrases-words")
+    every = drawn.where("phrase IS NOT NULL")
+    totals = stored(every.groupBy("lang").agg(F.sum("n").alias("n")), "phrases-totals")
+    words = every.where(F.col("n") >= minimum)
+    bits, before = _bitmap(words.select("h").union(drawn.where("phrase IS NULL").select("h"))), None
+    counted = None
+    while True:
+        some = _pass(read, seed, bits, before).where((F.col("n") >= minimum) | F.col("known"))
+        some = stored(some.withColumn("h", _hash_of.asNondeterministic()("p", "w")), "phrases-counted")
+        counted = some if counted is None else counted.union(some)
+        failed = some.where(~F.col("known")).where(F.col("k") < LONGEST)
         if failed.isEmpty():
-            return found, totals
+            break
         before, bits = bits, bits | _bitmap(failed.select("h"))
+    if _shared(every.select("h")) or _shared(counted.select("h")):
+        return frequent(docs, text, lang, minimum, seed + 1)
+    found = _texts(words.select("lang", "phrase", "h", F.col("n").alias("f")), counted.where(F.col("n") >= minimum))
+    return found, totals
+
+
+def _texts(words: DataFrame, counted: DataFrame) -> DataFrame:
+    """Frequent words and longer phrases by their text: a phrase's is that of its first words, frequent too, and of its last."""
+    shorter, found = words, words.select("lang", F.lit(1).alias("k"), "phrase", "f")
+    last = words.select(F.col("phrase").alias("last"), F.col("h").alias("w_h"))
+    for k in range(2, LONGEST + 1):
+        first = shorter.select("lang", F.col("phrase").alias("first"), F.col("h").alias("p_h"))
+        met = counted.where(F.col("k") == k).select("p", "w", "h", F.col("n").alias("f")).join(first, F.col("p") == F.col("p_h")).join(last, F.col("w") == F.col("w_h"))
+        shorter = stored(met.select("lang", F.concat_ws(" ", "first", "last").alias("phrase"), "h", "f"), "phrases-texts")
+        found = found.union(shorter.select("lang", F.lit(k).alias("k"), "phrase", "f"))
+    return found
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:

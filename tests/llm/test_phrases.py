@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from claimlens.llm import phrases
@@ -90,5 +92,41 @@ def test_a_hot_phrase_is_one_row_per_task(spark):
     docs = spark.createDataFrame([("en", "same words here " * 40)], "lang string, text string").crossJoin(spark.range(300)).repartition(6)
     got = phrases.collocations(docs).collect()
     assert got[0].a == 300 * 39 or max(r.a for r in got) <= 300 * 40
-    rows = phrases._summed(phrases._read(docs, "text", "lang"), phrases._words_and_sample)
+    rows = phrases._summed(phrases._read(docs, "text", "lang"), phrases._words_and_sample, "lang string, phrase string, h long")
     assert "partial_sum" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def counts(batches):
+    return [sorted(r.column("n").to_pylist()) for r in batches]
+
+
+def test_border_and_what_an_expansion_adds():
+    words = phrases._Words(pa.array(["a b c d, a b c d, a b"]), "en")
+    whole = np.full(1 << 15, 0xFFFFFFFF, np.uint32)
+    assert counts(phrases._border(words, whole, None)) == [[2, 2, 3], [2, 2], [2]]
+    assert list(phrases._border(words, whole, whole)) == []
+    single = np.zeros(1 << 15, np.uint32)
+    for h in words.hash:
+        slot = int(h >> np.uint64(44))
+        single[slot >> 5] |= np.uint32(1 << (slot & 31))
+    got = list(phrases._border(words, single, None))
+    assert counts(got) == [[2, 2, 3]] and not any(got[0].column("known").to_pylist())  # pairs of words alone
+    more = single.copy()
+    for p, w in zip(got[0].column("p").to_numpy().view(np.uint64), got[0].column("w").to_numpy().view(np.uint64)):
+        slot = int(phrases._longer(np.array([p]), np.array([w]))[0] >> np.uint64(44))
+        more[slot >> 5] |= np.uint32(1 << (slot & 31))
+    assert counts(phrases._border(words, more, single)) == [[2, 2], [2]]  # three words, and four at once
+
+
+def test_another_seed_where_hashes_are_shared(spark, monkeypatch):
+    rows, tried = texts(40), []
+    shared = phrases._shared
+    monkeypatch.setattr(phrases, "_shared", lambda df: tried.append(1) or (len(tried) == 1) or shared(df))
+    assert found(spark, rows, 6) == brute(rows, 6, 40) and len(tried) == 3
+    df = spark.createDataFrame([(1,), (2,), (1,)], "h long")
+    assert shared(df) and not shared(df.distinct())
+
+
+def test_words_that_name_their_language_have_hashes_of_their_own():
+    hashes = [int(h) for lang in ("de", "en", "es") for h in phrases._Words(pa.array(["de en es"]), lang).hash]
+    assert len(set(hashes)) == 9
