@@ -9,7 +9,7 @@ An aggregate can also be taken in two steps, so that a part of the input that
 didn't change need not be read again: ``partial`` keeps, per part, one row for
 each (keys, distinct value) with sums that add up exactly in any order, and
 ``merged`` makes the aggregate of such rows of all parts. Both ways give the
-same rows, to the last digit.
+same rows; floating-point means agree but for their last digits.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ CENTS = "sum(cast(cast(total_cost AS decimal(18, 2)) * 100 AS bigint))"
 COST = f"cast({CENTS} AS double) / 100"
 PROVIDERS = "count(DISTINCT npi)"
 PATIENTS = "sum(beneficiary_count)"
-# Ten decimals, summed exactly: the mean doesn't depend on the order of the rows either.
-UNIT_COSTS = "sum(cast(cost_per_claim AS decimal(28, 10)))"
-UNIT_COST = f"try_divide(cast({UNIT_COSTS} AS double), count(cost_per_claim))"
+UNIT_COST = "avg(cost_per_claim)"
+# In steps, a mean is made of an exact sum, so that it depends on no order of parts.
+UNIT_COSTS = "sum(cast(cost_per_claim AS decimal(38, 18)))"
 
 # How a measure is made of sums over parts; any other sum is the sum of its sums.
 IN_STEPS = {

@@ -1,4 +1,4 @@
-"""Aggregates in two steps equal those in one, to the last digit and type."""
+"""Aggregates in two steps equal those in one; means to twelve digits, as one of doubles depends on the order of rows."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +8,10 @@ from claimlens.plans import star_tables as star
 from claimlens.plans.transformation import GROUPINGS
 
 
+def plain(df):
+    return sorted(str([f"{v:.12g}" if isinstance(v, float) else v for v in r]) for r in df.collect())
+
+
 @pytest.fixture(scope="module")
 def fact(spark, small_dir):
     fact = star.flagged_fact(spark, small_dir)
@@ -25,12 +29,13 @@ def test_parts_add_up(fact, name):
     whole = grouping.of(fact)
     merged = grouping.merged(grouping.partial(fact, ["part"]))
     assert merged.dtypes == whole.dtypes
-    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    assert plain(merged) == plain(whole)
 
 
 @pytest.mark.parametrize("name", sorted(GROUPINGS))
 def test_order_of_rows_does_not_matter(fact, name):
-    one, two = (GROUPINGS[name].of(fact.repartition(n, order)) for n, order in ((1, "npi"), (7, "drug_name")))
+    grouping = GROUPINGS[name]
+    one, two = (grouping.merged(grouping.partial(fact.repartition(n, order), ["part"])) for n, order in ((1, "npi"), (7, "drug_name")))
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
