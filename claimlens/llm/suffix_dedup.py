@@ -362,19 +362,18 @@ def without_repeated_words(docs: DataFrame, text: str = "text", words: int = WOR
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: bytes, removed bytes and runs, the digest of what is kept, its size, and what is kept in whole letters."""
+    """Per document: bytes, removed bytes and runs, the digest of what is kept, and its size."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    kinds = {"removed": pa.int64(), "spans": pa.int64(), "sha": pa.string(), "kept": pa.string()}
+    kinds = {"removed": pa.int64(), "spans": pa.int64(), "sha": pa.string()}
 
-    @F.arrow_udf("struct<removed: bigint, spans: bigint, sha: string, kept: string>")
+    @F.arrow_udf("struct<removed: bigint, spans: bigint, sha: string>")
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, spans in batches:
             rows = []
             for t, s in zip(texts, spans):
                 raw = t.as_py() or b""
                 runs = covered(s.as_py() or [], LENGTH)
-                kept = cut(raw, whole_letters(raw, runs)).decode()
-                rows.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest(), kept))
+                rows.append((sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest()))
             yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds.values())], [*kinds])
 
     raw = F.col("text").cast("binary")
@@ -383,5 +382,5 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_bytes",
         F.col("r.removed").alias("n_removed"), F.col("r.spans").alias("n_spans"), F.col("r.sha").alias("kept_sha256"),
-        (F.col("n_bytes") - F.col("r.removed")).alias("n_kept"), F.col("r.kept").alias("text"),
+        (F.col("n_bytes") - F.col("r.removed")).alias("n_kept"),
     )
