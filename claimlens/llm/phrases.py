@@ -8,10 +8,12 @@ negative border. A frequent phrase that isn't in the bitmap is a border failure:
 pass counts what this adds to the border. It takes all that it adds as if it were frequent, so that extensions of
 extensions are counted with them and the next look finds the border closed.
 
-What is shuffled for a phrase is a hash of all its words but the last and a hash of the last; its text is put together from
-those of frequent phrases when all is counted. Hashes have 64 bits and are of language and words. Words are known by text,
-and all phrases in the bitmap by their two hashes: should two of them share one, all is counted anew under another seed.
-Sample and bitmap settle which phrases are counted, never how often.
+What is shuffled for a phrase is its hash of 64 bits, made from the hashes of all its words but the last and of the last
+word, and a tag with ``TAG_BITS`` bits of the latter. That can be undone: the last word is a frequent one with these bits,
+and its hash and the phrase's give that of the other words. So the texts of frequent phrases are put together when all is
+counted. Hashes are of language and words. Should two words share theirs, or two phrases in the bitmap, or a frequent phrase
+come apart in two ways, all is counted anew under another seed; only phrases that share hash and tag, 92 bits, would be taken
+for one. Sample and bitmap settle which phrases are counted, never how often.
 
 A null language is ``und``; null and empty texts have no words; repeated rows count as often as they stand there. Tasks
 hold a slice of text at a time, and their counts are combined before they are shuffled.
@@ -48,6 +50,9 @@ NO_LANGUAGE = "und"
 BREAKS = b".,;:!?\n\v\f\r"
 BLANKS = b" \t"
 MIXER = np.uint64(0x9E3779B97F4A7C15)
+UNMIXER = np.uint64(pow(int(MIXER), -1, 1 << 64))
+#: Bits of the last word's hash in a phrase's tag, above two bits for the number of words and one for being in the bitmap.
+TAG_BITS = 28
 #: Bytes of text handled at a time.
 SLICE_BYTES = 1 << 20
 
@@ -62,6 +67,13 @@ def _longer(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
     return _mixed(hashes * MIXER + last)
 
 
+def _all_but_last(hashes: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hash of all words of a phrase but the last, from those of the phrase and of the last: _longer undone."""
+    x = hashes * UNMIXER
+    x = (x ^ (x >> np.uint64(29)) ^ (x >> np.uint64(58))) * UNMIXER
+    return ((x ^ (x >> np.uint64(32))) - last) * UNMIXER
+
+
 class _Words:
     """The words of some texts in lower case: the distinct ones, each occurrence's place among them, and its piece."""
 
@@ -168,10 +180,18 @@ def _border(words: _Words, bits: np.ndarray, before: np.ndarray | None) -> Itera
             then = held
 
 
+def _tagged(border: pa.RecordBatch) -> pa.RecordBatch:
+    """What _border counts, given by hash and tag."""
+    p, w = (border.column(c).to_numpy().view(np.uint64) for c in "pw")
+    k, known = border.column("k").to_numpy(), border.column("known").to_numpy(zero_copy_only=False)
+    tag = (w & np.uint64((1 << TAG_BITS) - 1)).astype(np.int32) << 3 | (k - 2) << 1 | known
+    return _batch(h=_signed(_longer(p, w)), tag=tag.astype(np.int32), n=border.column("n"))
+
+
 @F.arrow_udf(LongType())
-def _hash_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for p, w in batches:
-        yield _signed(_longer(p.to_numpy().view(np.uint64), w.to_numpy().view(np.uint64)))
+def _first_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for h, w in batches:
+        yield _signed(_all_but_last(h.to_numpy().view(np.uint64), w.to_numpy().view(np.uint64)))
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -199,9 +219,9 @@ def _pass(read: DataFrame, seed: int, bits: np.ndarray, before: np.ndarray | Non
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _by_language(batches, limit, seed):
-            yield from _border(words, *sent.value)
+            yield from map(_tagged, _border(words, *sent.value))
 
-    return _summed(read, run, "k int, p long, w long, known boolean")
+    return _summed(read, run, "h long, tag int").withColumns({"k": F.expr("shiftright(tag, 1) & 3") + 2, "known": F.expr("tag & 1 = 1")})
 
 
 def _shared(hashes: DataFrame) -> bool:
@@ -221,27 +241,30 @@ def frequent(docs: DataFrame, text: str = "text", lang: str = "lang", minimum: i
     counted = None
     while True:
         some = _pass(read, seed, bits, before).where((F.col("n") >= minimum) | F.col("known"))
-        some = stored(some.withColumn("h", _hash_of.asNondeterministic()("p", "w")), "phrases-counted")
+        some = stored(some, "phrases-counted")
         counted = some if counted is None else counted.union(some)
         failed = some.where(~F.col("known")).where(F.col("k") < LONGEST)
         if failed.isEmpty():
             break
         before, bits = bits, bits | _bitmap(failed.select("h"))
-    if _shared(every.select("h")) or _shared(counted.select("h")):
-        return frequent(docs, text, lang, minimum, seed + 1)
-    found = _texts(words.select("lang", "phrase", "h", F.col("n").alias("f")), counted.where(F.col("n") >= minimum))
-    return found, totals
+    if not _shared(every.select("h")):
+        texts = _texts(words.select("lang", "phrase", "h", F.col("n").alias("f")), counted.where(F.col("n") >= minimum))
+        if not _shared(texts.select("h").union(counted.where(F.col("n") < minimum).select("h"))):
+            return words.select("lang", F.lit(1).alias("k"), "phrase", F.col("n").alias("f")).union(texts.drop("h")), totals
+    return frequent(docs, text, lang, minimum, seed + 1)
 
 
 def _texts(words: DataFrame, counted: DataFrame) -> DataFrame:
-    """Frequent words and longer phrases by their text: a phrase's is that of its first words, frequent too, and of its last."""
-    shorter, found = words, words.select("lang", F.lit(1).alias("k"), "phrase", "f")
-    last = words.select(F.col("phrase").alias("last"), F.col("h").alias("w_h"))
+    """Frequent phrases of two words and more by their text: that of their first words, frequent too, and of their last."""
+    shorter, found = words, None
+    last = words.select(F.col("phrase").alias("last"), F.col("h").alias("w_h"), F.expr(f"cast(h & {(1 << TAG_BITS) - 1} AS int)").alias("w_tag"))
     for k in range(2, LONGEST + 1):
         first = shorter.select("lang", F.col("phrase").alias("first"), F.col("h").alias("p_h"))
-        met = counted.where(F.col("k") == k).select("p", "w", "h", F.col("n").alias("f")).join(first, F.col("p") == F.col("p_h")).join(last, F.col("w") == F.col("w_h"))
+        met = counted.where(F.col("k") == k).select("h", F.expr("shiftright(tag, 3)").alias("tag"), F.col("n").alias("f")).join(last, F.col("tag") == F.col("w_tag"))
+        met = met.withColumn("p", _first_of.asNondeterministic()("h", "w_h")).join(first, F.col("p") == F.col("p_h"))
         shorter = stored(met.select("lang", F.concat_ws(" ", "first", "last").alias("phrase"), "h", "f"), "phrases-texts")
-        found = found.union(shorter.select("lang", F.lit(k).alias("k"), "phrase", "f"))
+        longer = shorter.select("lang", F.lit(k).alias("k"), "phrase", "f", "h")
+        found = longer if found is None else found.union(longer)
     return found
 
 

@@ -130,3 +130,24 @@ def test_another_seed_where_hashes_are_shared(spark, monkeypatch):
 def test_words_that_name_their_language_have_hashes_of_their_own():
     hashes = [int(h) for lang in ("de", "en", "es") for h in phrases._Words(pa.array(["de en es"]), lang).hash]
     assert len(set(hashes)) == 9
+
+
+def test_hash_and_tag_give_the_words_back(spark):
+    """What is shuffled for a phrase is 12 bytes; the hash of its first words follows from them and the last word's."""
+    words = phrases._Words(pa.array(["a b c d e f g, a b"]), "en")
+    own = words.hash[words.index]
+    p = own[:1]
+    for w in own[1:]:
+        h = phrases._longer(p, np.array([w]))
+        assert phrases._all_but_last(h, np.array([w])) == p
+        p = h
+    read = phrases._read(spark.createDataFrame([("en", "a b c, a b")], "lang string, text string"), "text", "lang")
+    counted = phrases._pass(read, 0, np.full(1 << 21, 0xFFFFFFFF, np.uint32), None)
+    assert "p" not in counted.columns and dict(counted.dtypes)["h"] == "bigint" and dict(counted.dtypes)["tag"] == "int"
+    assert sorted((r.k, r.n, r.known) for r in counted.collect()) == [(2, 1, True), (2, 2, True), (3, 1, True)]
+
+
+def test_a_phrase_that_comes_apart_in_two_ways_is_counted_anew(spark, monkeypatch):
+    rows, tried, texts_of = texts(40), [], phrases._texts
+    monkeypatch.setattr(phrases, "_texts", lambda *a: tried.append(1) or (texts_of(*a).union(texts_of(*a)) if len(tried) == 1 else texts_of(*a)))
+    assert found(spark, rows, 6) == brute(rows, 6, 40) and len(tried) == 2
