@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from claimlens.llm import anchors, suffix_dedup, suffixes
+from claimlens.llm import anchors, common, suffix_dedup, suffixes
 
 N = 400
 
@@ -179,3 +179,18 @@ def test_a_long_run_without_spaces_is_one_word(spark):
         docs = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
         out = [r.text for r in suffix_dedup.without_repeated_words(docs).collect()]
         assert (sorted(out) == sorted(texts)) is kept and all((shared in t) is kept for t in out)
+
+
+def test_one_python_worker_for_each_task(spark, monkeypatch):
+    """Words are coded where anchors are chosen, and texts shuffled as they are: a second worker a task would take its memory."""
+    plans = []
+    monkeypatch.setattr(suffix_dedup, "stored", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or kept(df, name))
+    kept = common.stored
+    rng = random.Random(9)
+    passage = words(rng, 60)
+    docs = spark.createDataFrame([(k, f"{words(rng, 30)} {passage}") for k in range(3)], "doc_id long, text string")
+    assert not any(passage in r.text for r in suffix_dedup.without_repeated_words(docs).collect())
+    count = {name: len(re.findall("ArrowEvalPython|MapInArrow", plan)) for name, plan in plans}
+    assert count["anchors"] == 1 and count["fragments"] == 1
+    fragments = dict(plans)["fragments"]
+    assert fragments.index("ArrowEvalPython") < fragments.index("Exchange")  # after the shuffle: plans have their last step first
