@@ -125,6 +125,23 @@ def test_query_equals_brute_force(spark, small_dir):
     assert all(r.n_kept == r.n_bytes - r.n_removed for r in got)
 
 
+def test_query_shows_what_is_kept(spark, tmp_path):
+    """A passage of 400 bytes or more is gone from the texts, a shorter one of as many words stays, and so does the rest."""
+    rng = random.Random(10)
+    fresh = lambda n: " ".join(f"{rng.randrange(10**6)}" for _ in range(n))
+    long, short = fresh(70), " ".join(rng.choice("abcdefgh") for _ in range(70))
+    texts = [f"{fresh(20)} {p} {fresh(20)}" for p in (long, short) for _ in range(3)] + [fresh(90), None, "", "é" * 300, "zé" * 300]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in suffix_dedup.op5_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert [tuple(got[k])[1:5] for k in range(len(texts))] == plain(texts)
+    for k, t in enumerate(texts):
+        r = got[k]
+        assert r.n_kept <= len(r.text.encode()) <= r.n_kept + 6 * r.n_spans and "\ufffd" not in r.text
+        assert r.n_removed > 0 or r.text == (t or "")
+    assert all(long not in got[k].text and got[k].n_removed >= len(long) for k in range(3))
+    assert all(got[k].text == texts[k] and short in got[k].text for k in range(3, 6))
+
+
 def without_words(texts, n=51):
     """Per text what is left of it without repeated windows of n words, found by counting them."""
     found = [[m.span() for m in re.finditer(rb"\S+", t.encode())] for t in texts]
