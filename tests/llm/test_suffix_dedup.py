@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from claimlens.llm import anchors, common, suffix_dedup, suffixes
 
@@ -211,3 +212,26 @@ def test_one_python_worker_for_each_task(spark, monkeypatch):
     assert count["anchors"] == 1 and count["fragments"] == 1
     fragments = dict(plans)["fragments"]
     assert fragments.index("ArrowEvalPython") < fragments.index("Exchange")  # after the shuffle: plans have their last step first
+
+
+def test_texts_without_repeats_stay_out_of_the_worker(spark):
+    """What isn't cut isn't sent: a byte that is no UTF-8, on which the worker would fail, passes, and the plan shows why."""
+    rng = random.Random(11)
+    passage = words(rng, 60)
+    docs = spark.createDataFrame([(k, f"{words(rng, 30)} {passage}", 1) for k in range(3)] + [(3, None, None), (4, "", 0)], "doc_id long, text string, n_chars int")
+    odd = spark.sql("SELECT 5L AS doc_id, CAST(unhex('61FF62') AS STRING) AS text, 3 AS n_chars")
+    out = suffix_dedup.without_repeated_words(docs.union(odd))
+    sent = re.search(r"ArrowEvalPython \[run\(([^\]]+)", out._jdf.queryExecution().executedPlan().toString())[1]
+    assert out.columns == docs.columns and sent.startswith("CASE WHEN isnotnull(__removed")
+    got = {r.doc_id: r for r in out.selectExpr("doc_id", "hex(cast(text AS binary)) AS hex", "text IS NULL AS none", "n_chars").collect()}
+    assert got[5].hex == "61FF62" and got[3].none and got[3].n_chars is None and got[4].hex == "" and len(got) == 6
+    assert not any(passage.encode().hex().upper() in got[k].hex for k in range(3)) and got[0].n_chars == len(bytes.fromhex(got[0].hex).decode())
+
+
+def test_texts_leave_the_worker_in_parts(monkeypatch):
+    """A worker gives a batch of texts back in parts, in order and whole."""
+    monkeypatch.setattr(suffix_dedup, "GIVEN", 3)
+    texts = pa.array([b"a b", None, b"", b"c", *[b"d d"] * 6], pa.binary())
+    parts = [*suffix_dedup._coded.func(iter([texts, texts[:0]]))]
+    assert [len(p) for p in parts] == [3, 3, 3, 1]
+    assert pa.concat_arrays(parts).to_pylist() == [None if x is None else suffix_dedup.coded(x) for x in texts.to_pylist()]
